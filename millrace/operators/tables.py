@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import number_rows
+
 
 def lower_names(frame: DataFrame) -> DataFrame:
     return frame.toDF(*[name.lower() for name in frame.columns])
@@ -55,12 +57,17 @@ def group_report(
     measure: Column,
     mean_name: str,
     count_name: str = "count",
+    spread: bool = False,
 ) -> DataFrame:
     """Mean and count per group, numbered by falling count inside ``within``.
 
     ``joined`` carries the weights of ``precount``.  ``measure`` is a decimal,
     so sums do not depend on the order in which tasks finish.  Equal counts are
     ordered by the remaining group columns.
+
+    The numbering takes one task per ``within`` value, which suits groups over
+    fixed vocabularies.  With ``spread`` it takes any number of tasks, for
+    groups whose number grows with the data.
     """
     weighted = joined.select(*by, "n_rows", "n_counted", measure.alias("_measure"))
     present = F.when(F.col("_measure").isNotNull(), F.col("n_rows"))
@@ -69,11 +76,11 @@ def group_report(
         F.sum(present).alias("_present"),
         F.sum("n_counted").alias(count_name),
     )
-    ties = [F.col(name) for name in by if name != within]
-    order = Window.partitionBy(within).orderBy(F.desc(count_name), *ties)
-    return groups.select(
-        F.row_number().over(order).alias("seqno"),
-        (F.col("_total").cast("double") / F.col("_present")).alias(mean_name),
-        count_name,
-        *by,
+    means = groups.select(
+        (F.col("_total").cast("double") / F.col("_present")).alias(mean_name), count_name, *by
     )
+    order = [F.desc(count_name), *[F.col(name) for name in by if name != within]]
+    if spread:
+        return number_rows(means, [within], order)
+    seqno = F.row_number().over(Window.partitionBy(within).orderBy(*order))
+    return means.select(seqno.cast("long").alias("seqno"), *means.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.lines import bind, label_file_lines, line_audit, kept_lines, reject_report, tokenise
@@ -31,10 +32,20 @@ def cleanse(labelled: DataFrame, fields: list[str], keep: tuple[str, ...] = ())
 
 
 def cleanse_files(
-    spark: SparkSession, paths: str | list[str], fields: list[str] = POLICY_FIELDS, **edges
+    spark: SparkSession,
+    paths: str | list[str],
+    fields: list[str] = POLICY_FIELDS,
+    *,
+    hold: StorageLevel | None = None,
+    **edges,
 ) -> Cleansed:
-    """Cleanse the text files of a path or glob; see ``label_file_lines``."""
-    return cleanse(label_file_lines(read_lines(spark, paths), **edges), fields)
+    """Cleanse the text files of a path or glob; see ``label_file_lines``.
+
+    With ``hold`` the labelled lines are kept for the several actions that a
+    caller runs on the three results; otherwise each action reads the files.
+    """
+    labelled = label_file_lines(read_lines(spark, paths), **edges)
+    return cleanse(labelled.persist(hold) if hold else labelled, fields)
 
 
 @dataclass(frozen=True)

@@ -72,11 +72,14 @@ def enrich(network: DataFrame, states: DataFrame, customers: DataFrame) -> DataF
     )
 
 
-def protocol_report(network: DataFrame, states: DataFrame, customers: DataFrame) -> DataFrame:
+def protocol_report(
+    network: DataFrame, states: DataFrame, customers: DataFrame, *, spread: bool = False
+) -> DataFrame:
     """Mean age and policy count per state, protocol and profession.
 
     Same groups as aggregating ``enrich``, but policies are counted per state
     code, customer and protocol first, so the joins see no hot customer.
+    ``spread`` is for professions or states without number; see ``group_report``.
     """
     counts = precount(
         network.select("stcd", "custnum", protocol_of(F.col("networkurl")).alias("protocol")),
@@ -92,5 +95,6 @@ def protocol_report(network: DataFrame, states: DataFrame, customers: DataFrame)
         within="protocol",
         measure=F.col("age").try_cast("decimal(20,4)"),
         mean_name="avg_age",
+        spread=spread,
     )
     return report.orderBy("protocol", "seqno")

@@ -21,10 +21,6 @@ def parse_messages(messages: DataFrame, schema: T.StructType = VISIT, value: str
     return messages.withColumn("doc", doc)
 
 
-def well_formed(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col(f"doc.{CORRUPT}").isNull())
-
-
 def malformed(parsed: DataFrame) -> DataFrame:
     """Messages that cannot be read in full, with their text."""
     return parsed.where(F.col(f"doc.{CORRUPT}").isNotNull()).drop("doc")
@@ -37,9 +33,16 @@ def flatten_visits(
     as_of: dt.date | None = None,
     now: dt.datetime | None = None,
 ) -> DataFrame:
-    """One row per visitor of each well-formed message."""
+    """One row per visitor of each well-formed message.
+
+    The test for well-formedness comes after the explode and looks at the
+    visitor's position too.  Placed earlier, Catalyst would move it below the
+    parsing and parse every message once more for it.
+    """
     today = as_of_date(as_of)
-    visitors = well_formed(parsed).select(*keep, F.explode("doc.results").alias("res"))
+    parts = parsed.select(*keep, F.col(f"doc.{CORRUPT}").alias("bad"), F.col("doc.results").alias("results"))
+    visitors = parts.select(*keep, "bad", F.posexplode_outer("results").alias("pos", "res"))
+    visitors = visitors.where(F.when(F.col("bad").isNull(), F.col("pos")).isNotNull())
     born = parse_iso_day(F.col("res.dob.date"))
     place = F.col("res.location.coordinates")
     return visitors.select(

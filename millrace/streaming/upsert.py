@@ -7,12 +7,15 @@ replaying it changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.writers import upsert_search_index
+
 BATCH = "batch_id"
 
 # Batch id of compacted rows: older than every streamed batch.
@@ -76,3 +79,17 @@ class KeyedLog:
         successor = KeyedLog(path, self.key, self.order, self.arrival)
         successor._write(self.current(spark, schema), COMPACTED, path)
         return successor
+
+
+def index_batches(
+    resource: str, key: str, order: list[str], options: dict[str, str]
+) -> Callable[[DataFrame, int], None]:
+    """Batch function that upserts to a search index.
+
+    Only the newest row of each key is sent, since tasks write in any order.
+    """
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        upsert_search_index(latest_per_key(rows, key, order), resource, key, options)
+
+    return handle

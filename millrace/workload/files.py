@@ -205,8 +205,7 @@ def policy_detail(spark, sf_dir):
 def policy_report(spark, sf_dir):
     """The whole staging job: files in, ranked report out."""
     states, customers, _ = states_and_customers(_mixed_file(spark, sf_dir))
-    report = protocol_report(_network(spark, sf_dir), states, customers)
-    return report.withColumn("seqno", F.col("seqno").cast("long"))
+    return protocol_report(_network(spark, sf_dir), states, customers)
 
 
 # --- text drops: one line per policy, a header and a footer per file ---------

@@ -52,11 +52,9 @@ def _messages(events):
     user = F.col("user_id").cast("string")
     first = _visitor(user, k)
     second = _visitor(F.concat(user, F.lit("-guest")), k + 1)
-    results = (
-        F.when(F.col("event_type") == "purchase", F.array(first, second))
-        .when(F.col("event_type") == "click", F.slice(F.array(first), 1, 0))
-        .otherwise(F.array(first))
-    )
+    kind = F.col("event_type")
+    visitors = F.when(kind == "purchase", 2).when(kind == "click", 0).otherwise(1)
+    results = F.slice(F.array(first, second), F.lit(1), visitors)
     whole = F.to_json(F.struct(results.alias("results")))
     cut = F.substring(whole, F.lit(1), F.length(whole) - 1)
     value = F.when(F.col("event_type") == "error", cut).otherwise(whole)

@@ -38,7 +38,34 @@ def segment_rank_report(spark, sf_dir):
         mean_name="avg_acctbal",
         count_name="n_orders",
     )
-    return report.withColumn("seqno", F.col("seqno").cast("long")).orderBy("o_orderpriority", "seqno")
+    return report.orderBy("o_orderpriority", "seqno")
+
+
+@query(
+    """
+    WITH counts AS (
+        SELECT o_custkey, o_orderpriority, CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_acctbal,
+               COUNT(o_orderpriority) AS n_orders
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey, o_orderpriority)
+    SELECT ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY n_orders DESC, o_custkey) AS seqno, *
+    FROM counts
+    """
+)
+def customer_rank_report(spark, sf_dir):
+    """Every customer numbered by order count inside each priority.
+
+    The groups grow with the data, so the numbering is spread.
+    """
+    orders = precount(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "o_orderpriority")
+    return group_report(
+        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")),
+        ["o_custkey", "o_orderpriority"],
+        within="o_orderpriority",
+        measure=F.col("c_acctbal").cast("decimal(12,2)"),
+        mean_name="avg_acctbal",
+        count_name="n_orders",
+        spread=True,
+    )
 
 
 @query(
