@@ -1,7 +1,7 @@
 """Nested messages, in batch and as streams.
 
 Every event becomes one JSON message.  Purchases carry two visitors, clicks an
-empty list, and error events are cut off, so they cannot be parsed.
+empty list, and error events start with a stray brace, so they cannot be parsed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ..streaming.upsert import KeyedLog, latest_per_key
 from .base import query, table
 
 AS_OF = dt.date(2063, 7, 15)
-KEYS = ("event_id", "ts")
+KEYS = ("ts", "event_id")
 
 
 def _visitor(name, age):
@@ -48,16 +48,17 @@ def _visitor(name, age):
 
 
 def _messages(events):
-    k = F.from_json("props", "k int")["k"]
+    """One message per event; the number of visitors depends on its type."""
+    kind, k = F.col("event_type"), F.from_json("props", "k int")["k"]
     user = F.col("user_id").cast("string")
-    first = _visitor(user, k)
-    second = _visitor(F.concat(user, F.lit("-guest")), k + 1)
-    kind = F.col("event_type")
-    visitors = F.when(kind == "purchase", 2).when(kind == "click", 0).otherwise(1)
-    results = F.slice(F.array(first, second), F.lit(1), visitors)
-    whole = F.to_json(F.struct(results.alias("results")))
-    cut = F.substring(whole, F.lit(1), F.length(whole) - 1)
-    value = F.when(F.col("event_type") == "error", cut).otherwise(whole)
+    count = F.when(kind == "purchase", 2).when(kind == "click", 0).otherwise(1)
+
+    def visitor(number):
+        return _visitor(F.concat(user, F.when(number == 1, "-guest").otherwise("")), k + number)
+
+    results = F.transform(F.slice(F.array(F.lit(0), F.lit(1)), F.lit(1), count), visitor)
+    start = F.when(kind == "error", "{").otherwise("")
+    value = F.concat(start, F.to_json(F.struct(results.alias("results"))))
     return events.select("event_id", "ts", value.alias("value"))
 
 
