@@ -20,10 +20,13 @@ def as_of_date(as_of: dt.date | Column | None) -> Column:
 
 
 def as_of_time(now: dt.datetime | Column | None) -> Column:
-    """A timestamp column: the given moment, or the query's own."""
+    """A timestamp column: the given moment, or the query's own.
+
+    A moment without an offset is meant in the session's time zone.
+    """
     if now is None:
         return F.current_timestamp()
-    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+    return now if isinstance(now, Column) else F.lit(now.isoformat()).cast("timestamp")
 
 
 def parse_day(text: Column, pattern: str = YEAR_FIRST) -> Column:

@@ -16,9 +16,19 @@ from ..sources.layouts import CORRUPT, VISIT, with_corrupt
 
 
 def parse_messages(messages: DataFrame, schema: T.StructType = VISIT, value: str = "value") -> DataFrame:
-    """Parse JSON text into ``doc``; the text stays for the quarantine."""
+    """Parse JSON text into ``doc``; the text stays for the quarantine.
+
+    A message that is a list of documents becomes one row per document, since
+    parsing to a single document would keep only the first.
+    """
+    text = F.col(value)
+    listed = F.coalesce(F.from_json(text, "array<string>"), F.array(text))
+    is_list = F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
+    texts = F.when(is_list, listed).otherwise(F.array(text))
+    others = [name for name in messages.columns if name != value]
+    each = messages.select(*others, F.explode_outer(texts).alias(value))
     doc = F.from_json(value, with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
-    return messages.withColumn("doc", doc)
+    return each.withColumn("doc", doc).select(*messages.columns, "doc")
 
 
 def malformed(parsed: DataFrame) -> DataFrame:

@@ -18,12 +18,25 @@ def record_text(frame: DataFrame, name: str = RECORD_NAME) -> Column:
     return F.concat(F.lit(f"{name}("), F.concat_ws(",", *parts), F.lit(")"))
 
 
-def write_records_text(frame: DataFrame, path: str, name: str = RECORD_NAME, partitions: int | None = None) -> None:
-    """One line per record; fails if the path exists."""
-    lines = frame.select(record_text(frame, name).alias("value"))
+def publish_views(**frames: DataFrame) -> None:
+    """Make frames available to SQL text under the given names."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
+def write_records_text(
+    frame: DataFrame, path: str, name: str = RECORD_NAME, *, partitions: int | None = None, by: str | None = None
+) -> None:
+    """One line per record; fails if the path exists.
+
+    ``by`` writes one folder per value of a column, such as the business day.
+    """
+    slices = [F.col(by).alias(f"{by}_slice")] if by else []
+    lines = frame.select(record_text(frame, name).alias("value"), *slices)
     if partitions:
         lines = lines.repartition(partitions)
-    lines.write.mode("errorifexists").text(path)
+    writer = lines.write.mode("errorifexists")
+    (writer.partitionBy(f"{by}_slice") if by else writer).text(path)
 
 
 def write_csv(frame: DataFrame, path: str, *, single_file: bool = False, by: tuple[str, ...] = (), **options) -> None:

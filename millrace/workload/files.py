@@ -38,7 +38,7 @@ from ..sources.files import (
     rejected,
 )
 from ..sources.layouts import POLICY, POLICY_FIELDS
-from ..sinks.writers import append_external_table, write_csv, write_records_text
+from ..sinks.writers import append_external_table, publish_views, write_csv, write_records_text
 from .base import query, table
 
 AS_OF = dt.date(2024, 6, 30)
@@ -395,7 +395,7 @@ def table_roundtrip(spark, sf_dir):
     finished = F.col("o_orderstatus") == "F"
     for part in (orders.where(finished), orders.where(~finished | finished.isNull())):
         append_external_table(part, name, path)
-    read_table(spark, name).createOrReplaceTempView(f"{name}_view")
+    publish_views(**{f"{name}_view": read_table(spark, name)})
     result = spark.sql(f"SELECT * FROM {name}_view")
     spark.catalog.dropTempView(f"{name}_view")
     spark.sql(f"DROP TABLE {name}")

@@ -147,7 +147,7 @@ def latest_event_per_user(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     path = f"{sf_dir}/events.parquet"
-    return table_rows(spark, path, spark.read.parquet(path).schema)
+    return table_rows(spark, path, spark.read.parquet(path).schema, maxFilesPerTrigger="1000")
 
 
 @query(_FLAT)

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from millrace.sinks.writers import (
     append_external_table,
     append_jdbc,
+    publish_views,
     upsert_search_index,
     write_csv,
     write_records_text,
@@ -33,6 +34,22 @@ def test_text_form_of_records(spark, rows, tmp_path):
         write_records_text(rows, path)
 
 
+def test_text_by_slice(spark, tmp_path):
+    path = str(tmp_path / "out")
+    days = spark.createDataFrame([(1, "2019-10-01"), (2, "2019-10-02"), (3, "2019-10-01")], "id int, day string")
+    write_records_text(days, path, by="day")
+    first = spark.read.text(path).where("day_slice = '2019-10-01'")
+    assert sorted(r.value for r in first.collect()) == ["insureclass(1,2019-10-01)", "insureclass(3,2019-10-01)"]
+
+
+def test_views(spark, rows):
+    publish_views(shop_view=rows)
+    assert spark.sql("select count(v) as n from shop_view").first().n == 2
+    publish_views(shop_view=rows.limit(0))
+    assert spark.table("shop_view").isEmpty()
+    spark.catalog.dropTempView("shop_view")
+
+
 def test_csv_is_replaced_and_single_file_is_opt_in(spark, rows, tmp_path):
     path = str(tmp_path / "out")
     write_csv(rows, path)

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.plans.visits import flatten_visits, malformed, older_visitors, parse_messages
-from millrace.sources.streams import kafka_messages, kafka_options, text_messages
+from millrace.sources.streams import kafka_messages, kafka_options, table_rows, text_messages
 from millrace.streaming.run import append_files, run_available, run_every, split_batch
 from millrace.streaming.upsert import KeyedLog, latest_per_key
 from test_visits import AS_OF, MESSAGES, message, visitor
@@ -78,6 +78,23 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
     assert ages(compacted) == {"ann": 50, "bob": 38}
 
 
+def test_order_makes_batching_irrelevant(spark, tmp_path):
+    """One file per batch, in any order, gives the state of one single batch."""
+    rows = spark.range(400).selectExpr("cast(id % 50 as string) as k", "(id * 37) % 400 as t", "id as v")
+    rows.repartition(6).write.parquet(str(tmp_path / "in"))
+    log = KeyedLog(str(tmp_path / "log"), "k", ("t",), arrival=False)
+    batches = []
+
+    def batch(frame, batch_id):
+        batches.append(batch_id)
+        log.write_batch(frame, batch_id)
+
+    stream = table_rows(spark, str(tmp_path / "in"), rows.schema, maxFilesPerTrigger="1")
+    run_available(stream, batch, str(tmp_path / "offsets"))
+    assert batches == list(range(6))
+    assert plain(log.current(spark, rows.schema)) == plain(latest_per_key(rows, "k", ["t"]))
+
+
 def test_order_instead_of_arrival(spark, tmp_path):
     log = KeyedLog(str(tmp_path / "log"), "k", ("t",), arrival=False)
     for batch_id, (t, v) in enumerate([(5, "new"), (3, "late")]):

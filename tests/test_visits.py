@@ -6,6 +6,7 @@ import json
 import pytest
 
 from millrace.plans.visits import flatten_visits, malformed, older_visitors, parse_messages
+from millrace.sources.layouts import VISIT
 
 AS_OF = dt.date(2024, 6, 30)
 
@@ -74,3 +75,29 @@ def test_unused_derivations_do_not_reach_the_plan(parsed):
     visits = flatten_visits(parsed, as_of=AS_OF).select("custid")
     plan = visits._jdf.queryExecution().executedPlan().toString()
     assert "valid" not in plan
+
+
+def test_parsed_once(parsed):
+    visits = older_visitors(flatten_visits(parsed, as_of=AS_OF))
+    plan = visits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField(results") == 1
+
+
+LISTS = [
+    f"[{message(visitor('a', 40))}, {message(visitor('b', 41), visitor('c', 42))}]",
+    f"  [ {message(visitor('d', 43))} ]",
+    "[]",
+    "[ {broken",
+    message(visitor("e", 44)),
+]
+
+
+def test_lists_of_documents(spark, tmp_path):
+    """The same documents as Spark's own reader gives, which drops bad ones."""
+    parsed = parse_messages(spark.createDataFrame([(m,) for m in LISTS], "value string"))
+    visits = flatten_visits(parsed, as_of=AS_OF)
+    (tmp_path / "in.json").write_text("\n".join(LISTS) + "\n")
+    documents = spark.read.schema(VISIT).option("mode", "DROPMALFORMED").json(str(tmp_path))
+    expected = documents.selectExpr("explode(results.login.username) as custid")
+    assert sorted(r.custid for r in visits.collect()) == sorted(r.custid for r in expected.collect()) == list("abcde")
+    assert [r.value for r in malformed(parsed).collect()] == ["[ {broken"]
