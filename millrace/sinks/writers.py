@@ -18,6 +18,15 @@ def record_text(frame: DataFrame, name: str = RECORD_NAME) -> Column:
     return F.concat(F.lit(f"{name}("), F.concat_ws(",", *parts), F.lit(")"))
 
 
+def _by_slice(frame: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Bring rows of a slice together, in as many tasks as its size needs.
+
+    Otherwise every task would write a file for each slice it holds.  Large
+    slices are split and small ones share a task at run time.
+    """
+    return frame.hint("rebalance", *[F.col(name) for name in by])
+
+
 def publish_views(**frames: DataFrame) -> None:
     """Make frames available to SQL text under the given names."""
     for name, frame in frames.items():
@@ -33,7 +42,9 @@ def write_records_text(
     """
     slices = [F.col(by).alias(f"{by}_slice")] if by else []
     lines = frame.select(record_text(frame, name).alias("value"), *slices)
-    if partitions:
+    if by:
+        lines = _by_slice(lines, (f"{by}_slice",))
+    elif partitions:
         lines = lines.repartition(partitions)
     writer = lines.write.mode("errorifexists")
     (writer.partitionBy(f"{by}_slice") if by else writer).text(path)
@@ -41,7 +52,9 @@ def write_records_text(
 
 def write_csv(frame: DataFrame, path: str, *, single_file: bool = False, by: tuple[str, ...] = (), **options) -> None:
     """Replace a CSV folder.  ``single_file`` puts all rows into one task."""
-    out = frame.coalesce(1) if single_file else frame
+    out = _by_slice(frame, by) if by else frame
+    if single_file:
+        out = out.coalesce(1)
     writer = out.write.mode("overwrite").options(**options)
     (writer.partitionBy(*by) if by else writer).csv(path)
 

@@ -65,6 +65,25 @@ def test_csv_by_partition_folder(spark, rows, tmp_path):
     assert sorted(n for n in os.listdir(path) if "=" in n) == ["id=1", "id=2", "id=3"]
 
 
+def test_slices_are_not_scattered_and_hot_slices_are_split(spark, tmp_path):
+    """Most slices are one file; the hot one is several, as are its shuffle neighbours."""
+    rows = spark.range(40_000, numPartitions=16).selectExpr(
+        "if(id % 3 > 0, 0, id % 50) as slice", "sha2(cast(id as string), 512) as filler"
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "512KB")
+    try:
+        write_csv(rows, str(tmp_path / "out"), by=("slice",))
+    finally:
+        spark.conf.set(name, old)
+    files = {f"slice={i}": len([n for n in os.listdir(tmp_path / "out" / f"slice={i}") if n.endswith(".csv")]) for i in range(50)}
+    assert files.pop("slice=0") > 1
+    assert sum(n == 1 for n in files.values()) > 35
+    assert max(files.values()) < 16  # as many as the tasks that hold the rows
+    assert spark.read.csv(str(tmp_path / "out")).count() == 40_000
+
+
 def test_duplicate_names_are_refused(spark, rows, tmp_path):
     with pytest.raises(AnalysisException, match="COLUMN_ALREADY_EXISTS"):
         append_external_table(rows.select("id", "id"), f"stage_{uuid.uuid4().hex}", str(tmp_path / "out"))
