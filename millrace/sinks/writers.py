@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Fixed value: type name in the text form of a record.
 RECORD_NAME = "insureclass"
 
+# Fixed value: data source of the search index connector.
+SEARCH_INDEX = "org.elasticsearch.spark.sql"
+
 
 def record_text(frame: DataFrame, name: str = RECORD_NAME) -> Column:
     """Text form of a row: ``name(a,b,...)``, with ``null`` for NULL."""
@@ -71,7 +74,7 @@ def append_jdbc(frame: DataFrame, url: str, table: str, properties: dict[str, st
 
 
 def upsert_search_index(
-    frame: DataFrame, resource: str, key: str, options: dict[str, str], source: str = "org.elasticsearch.spark.sql"
+    frame: DataFrame, resource: str, key: str, options: dict[str, str], source: str = SEARCH_INDEX
 ) -> None:
     """Write documents whose id is ``key``, so a replay replaces them.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.writers import upsert_search_index
+from ..sinks.writers import SEARCH_INDEX, upsert_search_index
 
 BATCH = "batch_id"
 
@@ -26,10 +26,12 @@ def latest_per_key(frame: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row of each key that comes last in ``order``.
 
     Each task reduces its rows to one per key before the shuffle, so a key with
-    very many rows costs no more than any other.
+    very many rows costs no more than any other.  Rows that are equal in
+    ``order`` are compared by their remaining columns, so that a task that runs
+    again chooses the same one.
     """
-    others = [name for name in frame.columns if name != key]
-    newest = frame.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
+    rest = [name for name in frame.columns if name not in (key, *order)]
+    newest = frame.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_row"))
     return newest.select(key, "_row.*").select(*frame.columns)
 
 
@@ -82,7 +84,7 @@ class KeyedLog:
 
 
 def index_batches(
-    resource: str, key: str, order: list[str], options: dict[str, str]
+    resource: str, key: str, order: list[str], options: dict[str, str], source: str = SEARCH_INDEX
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that upserts to a search index.
 
@@ -90,6 +92,6 @@ def index_batches(
     """
 
     def handle(rows: DataFrame, batch_id: int) -> None:
-        upsert_search_index(latest_per_key(rows, key, order), resource, key, options)
+        upsert_search_index(latest_per_key(rows, key, order), resource, key, options, source)
 
     return handle

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from millrace.operators import lines as L
@@ -158,6 +159,17 @@ def test_cleanse_and_merge(spark, tmp_path):
     assert day.count() == 3
 
 
+def test_held_lines_give_the_same_results(spark, tmp_path):
+    folder = tmp_path / "in"
+    write(folder, FIRST)
+    free = cleanse_files(spark, f"{folder}/insuranceinfo1*")
+    held = cleanse_files(spark, f"{folder}/insuranceinfo1*", hold=StorageLevel.MEMORY_AND_DISK)
+    for name in ("records", "rejects", "audit"):
+        assert sorted(getattr(held, name).collect()) == sorted(getattr(free, name).collect())
+    assert "InMemoryTableScan" in held.audit._jdf.queryExecution().executedPlan().toString()
+    spark.catalog.clearCache()
+
+
 def test_dataset_scope_leaks_the_second_header(spark, tmp_path):
     folder = tmp_path / "in"
     write(folder, FIRST)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.plans.visits import flatten_visits, malformed, older_visitors, parse_messages
 from millrace.sources.streams import kafka_messages, kafka_options, table_rows, text_messages
 from millrace.streaming.run import append_files, run_available, run_every, split_batch
-from millrace.streaming.upsert import KeyedLog, latest_per_key
+from millrace.streaming.upsert import KeyedLog, index_batches, latest_per_key
 from test_visits import AS_OF, MESSAGES, message, visitor
 
 NOW = dt.datetime(2024, 6, 30, 7, 45)
@@ -156,6 +156,20 @@ def test_latest_per_key_with_a_hot_key(spark):
     assert latest.count() == rows.select("k").distinct().count()
 
 
+def test_latest_per_key_with_equal_order_is_repeatable(spark):
+    rows = spark.range(300).selectExpr("id % 3 as k", "0 as t", "cast(id as string) as v", "struct(id) as nested")
+    picks = [plain(latest_per_key(rows.repartition(n), "k", ["t"])) for n in (1, 3, 7)]
+    assert picks[0] == picks[1] == picks[2]
+    assert len(picks[0]) == 3
+
+
+def test_index_receives_the_newest_row_of_each_key(spark, tmp_path):
+    """Files stand for the index; its connector is not installed."""
+    send = index_batches(str(tmp_path / "index"), "k", ["t"], {}, source="parquet")
+    send(spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), ("b", 1, "only")], "k string, t int, v string"), 0)
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "index")).collect()) == ["new", "only"]
+
+
 def test_kafka_options():
     options = kafka_options("a:1,b:2", ["t1", "t2"], maxOffsetsPerTrigger="5")
     assert options == {
