@@ -218,16 +218,19 @@ def _framed(lines, header, footer):
     """
 
     def frame(batches):
-        import pandas as pd
+        import pyarrow as pa
+
+        def values(column):
+            return pa.RecordBatch.from_arrays([column], names=["value"])
 
         count = 0
-        yield pd.DataFrame({"value": [header]})
+        yield values(pa.array([header]))
         for batch in batches:
-            count += len(batch)
-            yield batch
-        yield pd.DataFrame({"value": [f"{footer},{count}"]})
+            count += batch.num_rows
+            yield values(batch.column(0))
+        yield values(pa.array([f"{footer},{count}"]))
 
-    return lines.select("value").mapInPandas(frame, "value string")
+    return lines.select("value").mapInArrow(frame, "value string")
 
 
 def _drop_file(spark, rows, label):

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.rows import drop_incomplete, slice_of
 from ..operators.tables import duplicate_audit, group_report, precount, rank_rows, union_distinct
 from ..plans.retail import sales_by_category, top_categories
+from ..sinks.writers import publish_views
 from .base import query, table
 
+_SEGMENT_RANKS = """
+WITH counts AS (
+    SELECT n_name, o_orderpriority, c_mktsegment,
+           CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_acctbal,
+           COUNT(o_orderpriority) AS n_orders
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    GROUP BY n_name, o_orderpriority, c_mktsegment)
+SELECT CAST(ROW_NUMBER() OVER (PARTITION BY o_orderpriority
+            ORDER BY n_orders DESC, n_name, c_mktsegment) AS BIGINT) AS seqno,
+       avg_acctbal, n_orders, n_name, o_orderpriority, c_mktsegment
+FROM counts ORDER BY o_orderpriority, seqno
+"""
 
-@query(
-    """
-    WITH counts AS (
-        SELECT n_name, o_orderpriority, c_mktsegment,
-               CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_acctbal,
-               COUNT(o_orderpriority) AS n_orders
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-        GROUP BY n_name, o_orderpriority, c_mktsegment)
-    SELECT CAST(ROW_NUMBER() OVER (PARTITION BY o_orderpriority
-                ORDER BY n_orders DESC, n_name, c_mktsegment) AS BIGINT) AS seqno,
-           avg_acctbal, n_orders, n_name, o_orderpriority, c_mktsegment
-    FROM counts ORDER BY o_orderpriority, seqno
-    """
-)
+
+@query(_SEGMENT_RANKS)
 def segment_rank_report(spark, sf_dir):
     """Groups numbered by order count inside each priority."""
     orders = precount(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "o_orderpriority")
@@ -41,6 +44,33 @@ def segment_rank_report(spark, sf_dir):
     return report.orderBy("o_orderpriority", "seqno")
 
 
+@query(_SEGMENT_RANKS)
+def segment_rank_in_sql(spark, sf_dir):
+    """The same report as SQL text over views, numbered after the grouping."""
+    mark = uuid.uuid4().hex
+    names = {name: f"{name}_{mark}" for name in ("orders", "customer", "nation")}
+    publish_views(**{view: table(spark, sf_dir, name) for name, view in names.items()})
+    report = spark.sql(
+        f"""
+        WITH order_counts AS (
+            SELECT o_custkey, o_orderpriority, count(*) AS n_rows, count(o_orderpriority) AS n
+            FROM {names["orders"]} GROUP BY o_custkey, o_orderpriority)
+        SELECT cast(row_number() OVER (PARTITION BY o_orderpriority
+                    ORDER BY sum(n) DESC, n_name, c_mktsegment) AS bigint) AS seqno,
+               cast(sum(cast(c_acctbal AS decimal(12,2)) * n_rows) AS double)
+                   / sum(if(c_acctbal IS NULL, NULL, n_rows)) AS avg_acctbal,
+               sum(n) AS n_orders, n_name, o_orderpriority, c_mktsegment
+        FROM order_counts JOIN {names["customer"]} ON o_custkey = c_custkey
+             JOIN {names["nation"]} ON c_nationkey = n_nationkey
+        GROUP BY n_name, o_orderpriority, c_mktsegment
+        ORDER BY o_orderpriority, 1
+        """
+    )
+    for view in names.values():
+        spark.catalog.dropTempView(view)
+    return report
+
+
 @query(
     """
     WITH counts AS (

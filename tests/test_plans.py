@@ -79,6 +79,21 @@ def test_plans_survive_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_reading_lines_fixes_the_scan_layout(spark, tmp_path):
+    name = "spark.sql.files.minPartitionNum"
+    (tmp_path / "a.txt").write_text("x\n")
+    old = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        read_lines(spark, str(tmp_path))
+        assert spark.conf.get(name) == str(spark.sparkContext.defaultParallelism)
+        spark.conf.set(name, "3")
+        read_lines(spark, str(tmp_path))
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.set(name, old or str(spark.sparkContext.defaultParallelism))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = session.shared_folder(spark)

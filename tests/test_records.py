@@ -130,3 +130,21 @@ def test_delimited_load(spark, tmp_path):
     (tmp_path / "part-0").write_text("1,2,Cleats\n2,x,Shoes\n")
     rows = load_delimited(spark, str(tmp_path), CATEGORY).collect()
     assert [tuple(r) for r in rows] == [(1, 2, "Cleats"), (2, None, "Shoes")]
+
+
+def test_missing_values_in_reports(spark, tmp_path):
+    """Missing ages, URLs and a whole group without any age."""
+    network = spark.createDataFrame(
+        [("S", "1", None), ("S", "1", "https://x"), ("S", "2", None), ("S", "2", None), (None, "1", "http://x"), ("S", None, "http://x")],
+        "stcd string, custnum string, networkurl string",
+    )
+    states = spark.createDataFrame([("S", "State")], "statecode string, statedesc string")
+    customers = spark.createDataFrame(
+        [("1", "40", "cook"), ("2", None, "pilot")], "custcode string, age string, proffession string"
+    )
+    rows = protocol_report(network, states, customers).collect()
+    assert [tuple(r) for r in rows] == [
+        (1, 40.0, 1, "State", "httpsecured", "cook"),
+        (1, None, 2, "State", "noprotocol", "pilot"),
+        (2, 40.0, 1, "State", "noprotocol", "cook"),
+    ]
