@@ -128,11 +128,16 @@ def route_by_alpha(spark, sf_dir):
     return route_by_letters(mixed, "key")
 
 
-@query("SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS who, event_type AS kind, '' AS rest FROM events")
+@query(
+    """
+    SELECT CAST(event_id AS VARCHAR) AS id, COALESCE(CAST(user_id AS VARCHAR), '') AS who,
+           COALESCE(event_type, '') AS kind, '' AS rest
+    FROM events
+    """
+)
 def record_bind(spark, sf_dir):
-    """Events as delimited text with an empty last field, bound again."""
-    lines = table(spark, sf_dir, "events").select(
-        F.concat_ws(",", "event_id", "user_id", "event_type", F.lit("")).alias("value")
-    )
+    """Events as delimited text with an empty last field, bound again; NULL is empty text."""
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("event_id", "user_id", "event_type")]
+    lines = table(spark, sf_dir, "events").select(F.concat_ws(",", *fields, F.lit("")).alias("value"))
     split = lines.select(tokens(F.col("value")).alias("tok")).withColumn("width", F.size("tok"))
     return bind(split, ["id", "who", "kind", "rest"])

@@ -56,7 +56,7 @@ _POLICY_TEXT = """
                CASE o_orderstatus WHEN 'F' THEN 'https://' WHEN 'O' THEN 'http://' ELSE 'ftp://' END || 'example.com' AS NetworkURL,
                CAST(o_custkey AS VARCHAR) AS custnum, 'Individual' AS MarketCoverage, 'No' AS DentalOnlyPlan
         FROM orders),
-    policies AS (SELECT * FROM policy_text WHERE BusinessDate <> 'unknown'),
+    policies AS (SELECT * FROM policy_text WHERE BusinessDate IS DISTINCT FROM 'unknown'),
     network AS (
         SELECT *, CAST(IssuerId AS VARCHAR) || CAST(IssuerId2 AS VARCHAR) AS issueridcomposite,
                CASE WHEN NetworkName IS NULL THEN 'Unknown'
@@ -137,7 +137,8 @@ def policy_staging(spark, sf_dir):
     + """
     SELECT (SELECT COUNT(*) FROM policy_text) AS raw_records, (SELECT COUNT(*) FROM policies) AS accepted_records,
            (SELECT COUNT(*) FROM policy_text WHERE BusinessDate = 'unknown') AS rejected_records,
-           (SELECT COUNT(*) FROM policies WHERE NetworkName IS NOT NULL) AS complete_records
+           (SELECT COUNT(*) FROM policies
+            WHERE IssuerId2 IS NOT NULL AND BusinessDate IS NOT NULL AND NetworkName IS NOT NULL) AS complete_records
     """
 )
 def policy_audit(spark, sf_dir):
@@ -198,7 +199,7 @@ def policy_detail(spark, sf_dir):
         SELECT 'State ' || n_regionkey AS statesdesc, protocol, proffession,
                CAST(SUM(age) AS DOUBLE) / COUNT(age) AS avg_age, COUNT(protocol) AS count
         FROM network JOIN nation ON StateCode = n_name JOIN people ON custnum = custcode GROUP BY 1, 2, 3)
-    SELECT CAST(ROW_NUMBER() OVER (PARTITION BY protocol ORDER BY count DESC, statesdesc, proffession) AS BIGINT) AS seqno,
+    SELECT CAST(ROW_NUMBER() OVER (PARTITION BY protocol ORDER BY count DESC, statesdesc NULLS FIRST, proffession NULLS FIRST) AS BIGINT) AS seqno,
            * FROM groups
     """
 )
@@ -245,8 +246,9 @@ _DROPS = (
     + _POLICY_TEXT
     + """,
     first_drop AS (
-        SELECT CAST(IssuerId AS VARCHAR) AS IssuerId, CAST(IssuerId2 AS VARCHAR) AS IssuerId2, BusinessDate, StateCode,
-               SourceName, COALESCE(NetworkName, '') AS NetworkName, NetworkURL, custnum, MarketCoverage, DentalOnlyPlan
+        SELECT CAST(IssuerId AS VARCHAR) AS IssuerId, COALESCE(CAST(IssuerId2 AS VARCHAR), '') AS IssuerId2,
+               COALESCE(BusinessDate, '') AS BusinessDate, COALESCE(StateCode, '') AS StateCode, SourceName,
+               COALESCE(NetworkName, '') AS NetworkName, NetworkURL, COALESCE(custnum, '') AS custnum, MarketCoverage, DentalOnlyPlan
         FROM policy_text),
     second_drop AS (
         SELECT * REPLACE (CASE WHEN NetworkURL LIKE 'https%' THEN SourceName ELSE 'other' END AS SourceName) FROM first_drop)
@@ -383,7 +385,7 @@ def text_roundtrip(spark, sf_dir):
     write_records_text(orders, path, "record")
     fields = F.split(F.regexp_extract("value", r"^record\((.*)\)$", 1), ",", -1)
     return read_lines(spark, path).select(
-        *[fields[i].cast(f.dataType).alias(f.name) for i, f in enumerate(orders.schema)]
+        *[F.nullif(fields[i], F.lit("null")).cast(f.dataType).alias(f.name) for i, f in enumerate(orders.schema)]
     )
 
 
@@ -411,4 +413,5 @@ def file_census_by_folder(spark, sf_dir):
     path = fresh_path(spark, "orders-by-priority")
     write_csv(_orders(spark, sf_dir), path, by=("o_orderpriority",))
     folder = F.url_decode(F.regexp_extract("file_path", "o_orderpriority=([^/]*)/", 1))
+    folder = F.nullif(folder, F.lit("__HIVE_DEFAULT_PARTITION__"))  # fixed value: folder of NULL
     return file_census(spark, path).groupBy(folder.alias("folder")).agg(F.sum("lines").alias("lines"))

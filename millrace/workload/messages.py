@@ -92,7 +92,7 @@ _VISITS = """
     WITH entries AS (
         SELECT event_id, ts, event_type, user_id, CAST(user_id AS VARCHAR) AS custid,
                CAST(json_extract(props, '$.k') AS BIGINT) AS age
-        FROM events WHERE event_type NOT IN ('error', 'click')
+        FROM events WHERE COALESCE(event_type, '') NOT IN ('error', 'click')
         UNION ALL
         SELECT event_id, ts, event_type, user_id, CAST(user_id AS VARCHAR) || '-guest',
                CAST(json_extract(props, '$.k') AS BIGINT) + 1

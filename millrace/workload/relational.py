@@ -20,7 +20,7 @@ WITH counts AS (
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name, o_orderpriority, c_mktsegment)
 SELECT CAST(ROW_NUMBER() OVER (PARTITION BY o_orderpriority
-            ORDER BY n_orders DESC, n_name, c_mktsegment) AS BIGINT) AS seqno,
+            ORDER BY n_orders DESC, n_name NULLS FIRST, c_mktsegment NULLS FIRST) AS BIGINT) AS seqno,
        avg_acctbal, n_orders, n_name, o_orderpriority, c_mktsegment
 FROM counts ORDER BY o_orderpriority, seqno
 """
@@ -77,7 +77,7 @@ def segment_rank_in_sql(spark, sf_dir):
         SELECT o_custkey, o_orderpriority, CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_acctbal,
                COUNT(o_orderpriority) AS n_orders
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey, o_orderpriority)
-    SELECT ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY n_orders DESC, o_custkey) AS seqno, *
+    SELECT ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY n_orders DESC, o_custkey NULLS FIRST) AS seqno, *
     FROM counts
     """
 )
