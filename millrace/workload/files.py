@@ -6,7 +6,6 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.lines import (
     edge_file_lines,
@@ -145,7 +144,11 @@ def policy_audit(spark, sf_dir):
     return record_audit(_policy_records(spark, sf_dir))
 
 
-@query("WITH" + _POLICY_TEXT + "SELECT CAST(IssuerId AS VARCHAR) AS issuer FROM policy_text WHERE BusinessDate = 'unknown'")
+@query(
+    "WITH"
+    + _POLICY_TEXT
+    + "SELECT CAST(IssuerId AS VARCHAR) AS issuer FROM policy_text WHERE BusinessDate = 'unknown'"
+)
 def policy_rejects(spark, sf_dir):
     """Rejected records keep their text."""
     bad = rejected(_policy_records(spark, sf_dir))

@@ -128,8 +128,24 @@ def test_unknown_scope(spark, tmp_path):
 
 ROW = "1,2,2019-10-01,TN,src,net,http://x,c1,Individual,No"
 FIRST = {
-    "insuranceinfo1_a.csv": [",".join(POLICY_FIELDS), ROW, ROW, "", "   ", "\t" + ROW.replace("1,2", "3,4", 1) + "\t", "short,1", "footer,5"],
-    "insuranceinfo1_b.csv": [",".join(POLICY_FIELDS), ROW.replace("2019-10-01", "2019-10-02"), ROW + ",extra", "7,8" + "," * 8, '"q,uoted"' + ROW[1:], "footer,4"],
+    "insuranceinfo1_a.csv": [
+        ",".join(POLICY_FIELDS),
+        ROW,
+        ROW,
+        "",
+        "   ",
+        "\t" + ROW.replace("1,2", "3,4", 1) + "\t",
+        "short,1",
+        "footer,5",
+    ],
+    "insuranceinfo1_b.csv": [
+        ",".join(POLICY_FIELDS),
+        ROW.replace("2019-10-01", "2019-10-02"),
+        ROW + ",extra",
+        "7,8" + "," * 8,
+        '"q,uoted"' + ROW[1:],
+        "footer,4",
+    ],
 }
 SECOND = {"insuranceinfo2.csv": ["header", ROW, "9" + ROW[1:], "footer"]}
 

@@ -1,7 +1,6 @@
 """Physical plans have the shape that large inputs need."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from millrace import session

@@ -54,8 +54,11 @@ def policies(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def sides(spark):
     states = spark.range(7).selectExpr("concat('S', id) as statecode", "concat('State ', id) as statedesc")
-    customers = spark.range(5000).selectExpr("cast(id as string) as custcode", "'n' as custname", "'l' as lname", "'40' as age", "'cook' as proffession")
-    hot = spark.range(1).selectExpr("'hot' as custcode", "'n' as custname", "'l' as lname", "'30' as age", "'pilot' as proffession")
+    names = ["'n' as custname", "'l' as lname"]
+    customers = spark.range(5000).selectExpr(
+        "cast(id as string) as custcode", *names, "'40' as age", "'cook' as proffession"
+    )
+    hot = spark.range(1).selectExpr("'hot' as custcode", *names, "'30' as age", "'pilot' as proffession")
     return states, customers.unionByName(hot)
 
 
