@@ -148,6 +148,7 @@ def append_columns(
     make: Callable[[], Callable[[pa.Array], list]],
     own: T.StructType,
     keep: list[str] | None = None,
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Rows of ``df`` with columns computed from a text column, slice by slice.
 
@@ -163,7 +164,7 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for part in slices(batch, "_input"):
+            for part in slices(batch, "_input", limit):
                 columns = [*part.columns[:-1], *compute(part.column("_input"))]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 

@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .arrays import append_columns, byte_view
+from .pieces import PieceIds
 
-FRAGMENTS_KEPT = 1 << 18
+SLICE = 1 << 20  # bytes of text encoded at once
+NO_IDS = np.zeros(0, np.int32)
 #: Last bytes of white space beyond ASCII in UTF-8, and the bytes before them.
 WIDE_SPACE_ENDS = np.zeros(256, bool)
 WIDE_SPACE_ENDS[[0x85, 0xA0, 0xA8, 0xA9, 0xAF, 0x9F, *range(0x80, 0x8B)]] = True
@@ -75,19 +77,10 @@ class FragmentCoder:
     """Encodes texts through their fragments, with one vocabulary."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.pieces = PieceIds(path)
         self.table, special = token_bytes(path)
         self.cuts = certain_cuts(self.table)
         self.special = re.compile(b"|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
 
     def boundaries(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where fragments begin, and the end."""
@@ -109,51 +102,45 @@ class FragmentCoder:
         """All ids of the texts one after the other, and where each text begins."""
         data, offsets = byte_view(column)
         if len(data) == 0:
-            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+            return NO_IDS, np.zeros(len(offsets), np.int64)
         cuts = self.boundaries(data, offsets)
         raw, at = data.tobytes(), cuts.tolist()
-        fragments = [raw[a:b] for a, b in zip(at, at[1:])]
-        if len(self.known) > FRAGMENTS_KEPT:
-            self.forget()
-        missing = list({f for f in fragments if f not in self.known})
-        for k in range(0, len(missing), 4096):
-            part = missing[k : k + 4096]
-            coded = self.tokenizer.encode_batch([f.decode() for f in part], add_special_tokens=False)
-            for fragment, found in zip(part, coded):
-                self.known[fragment] = len(self.ids)
-                self.ids.append(np.array(found.ids, np.int32))
-        known = self.known
-        number = np.fromiter((known[f] for f in fragments), np.int64, len(fragments))
-        sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))[number]
-        ends = np.zeros(len(number) + 1, np.int64)
-        np.cumsum(sizes, out=ends[1:])
-        flat = np.concatenate(self.ids)
-        first = np.zeros(len(self.ids) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, self.ids), np.int64, len(self.ids)), out=first[1:])
-        where = np.repeat(first[number] - ends[:-1], sizes) + np.arange(ends[-1])
-        return flat[where], ends[np.searchsorted(cuts, offsets)]
-
-
-def bpe_encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of every row, and its token ids ``ids`` (array of int)."""
+        number = self.pieces.numbers([raw[a:b] for a, b in zip(at, at[1:])])
+        ids, ends = self.pieces.gather(number)
+        return ids, ends[np.searchsorted(cuts, offsets)]
+
+
+def decode_ids(table: list[bytes], ids: np.ndarray) -> str:
+    """Ids to bytes to text; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+def bpe_encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
+    """The kept columns of every row, and its token ids ``ids`` (array of int).
+
+    With ``decoded`` the ids are decoded again in the same task, to a column
+    of that name.
+    """
+    own = T.StructType().add("ids", T.ArrayType(T.IntegerType()))
+    own = own.add("decoded", T.StringType()) if decoded else own
 
     def make():
         coder = FragmentCoder(path)
 
         def run(column: pa.Array) -> list[pa.Array]:
             ids, at = coder.encode(column)
-            return [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))]
+            out = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))]
+            if decoded:
+                out.append(pa.array([decode_ids(coder.table, ids[a:b]) for a, b in zip(at, at[1:])], pa.string()))
+            return out
 
         return run
 
-    return append_columns(docs, text, make, T.StructType().add("ids", T.ArrayType(T.IntegerType())), keep)
+    return append_columns(docs, text, make, own, keep, SLICE)
 
 
 def bpe_decode(coded: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all by default), and ``decoded``: the text of ``ids``.
-
-    Ids become bytes and then UTF-8; bytes that are none become U+FFFD.
-    """
+    """The kept columns (all by default), and ``decoded``: the text of ``ids``, "" for null."""
     kept = [c for c in (coded.columns if keep is None else keep) if c.lower() != "decoded"]
     source = coded.select(*[f"`{c}`" for c in kept], coded["ids"].alias("_ids"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("decoded", T.StringType())])
@@ -161,12 +148,9 @@ def bpe_decode(coded: DataFrame, path: str, keep: list[str] | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)[0]
         for batch in batches:
-            texts = []
-            for row in batch.column("_ids"):
-                ids = row.values.to_numpy(zero_copy_only=False).tolist() if row.is_valid else []
-                texts.append(b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace"))
-            for k in range(0, max(len(texts), 1), 256):
+            for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts[k : k + 256], pa.string())], names=schema.names)
+                lists = [x.values.to_numpy(zero_copy_only=False) if x.is_valid else NO_IDS for x in part.column("_ids")]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([decode_ids(table, x) for x in lists], pa.string())], names=schema.names)
 
     return source.mapInArrow(run, schema)

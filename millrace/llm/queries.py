@@ -30,8 +30,7 @@ def digest(text) -> F.Column:
 @register
 def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.bpe_encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    return bpe.bpe_decode(coded, path).select(
+    return bpe.bpe_encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"], decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         digest(F.array_join("ids", ",")).alias("ids_sha256"),

@@ -32,9 +32,10 @@ from pyspark.sql import types as T
 
 from ..session import fresh_path
 from .arrays import slices
+from .pieces import PieceIds
 from .shared_files import attempt_name, file_system
 
-WORDS_KEPT = 1 << 18
+SLICE = 1 << 20  # bytes of text encoded at once
 FRAME_IDS = 1 << 16  # ids in a frame, unless one document has more
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -50,46 +51,18 @@ class WordCoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.flat: np.ndarray | None = None
+        self.pieces = PieceIds(path)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text followed by ``end``; where each text begins."""
-        if len(self.known) > WORDS_KEPT:
-            self.forget()
-        if self.flat is None:
-            self.ids = [np.array([end], np.uint32)]
         words: list[bytes] = []
-        stops = []
+        stops = [0]
         for text in texts:
             words += text.split()
             stops.append(len(words))
-        known = self.known
-        missing = list({w for w in words if w not in known})
-        for k in range(0, len(missing), 4096):
-            part = missing[k : k + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                known[word] = len(self.ids)
-                self.ids.append(np.array(found.ids, np.uint32))
-        if missing or self.flat is None:
-            self.flat = np.concatenate(self.ids)
-            self.sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-            self.begin = np.cumsum(self.sizes) - self.sizes
-        number = np.insert(np.fromiter((known[w] for w in words), np.int64, len(words)), stops, 0)
-        sizes = self.sizes[number]
-        ends = np.zeros(len(number) + 1, np.int64)
-        np.cumsum(sizes, out=ends[1:])
-        ids = self.flat[np.repeat(self.begin[number] - ends[:-1], sizes) + np.arange(ends[-1])]
-        return ids, ends[np.concatenate([[0], np.array(stops, np.int64) + np.arange(1, len(texts) + 1)])]
+        ids, ends = self.pieces.gather(self.pieces.numbers(words))
+        at = ends[stops]
+        return np.insert(ids, at[1:], np.uint32(end)), at + np.arange(len(at))
 
 
 class FrameWriter:
@@ -167,7 +140,7 @@ def write_token_files(docs: DataFrame, path: str, end: int, folder: str | None =
         waiting: list[np.ndarray] = []
         held = 0
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 if sink is None:
                     system.create_dir(root, recursive=True)
                     sink = system.open_output_stream(f"{root}/{name}", compression=None)
