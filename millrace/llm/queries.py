@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, token_files, toxicity
+from . import bpe, decontaminate, ngram_join, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
     chain = toxicity.train_chain(docs, labels, ["low_quality", "toxic"])
     return toxicity.score_chain(docs, chain, keep=["doc_id"])
+
+
+@register
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), width=4, percent=85)
