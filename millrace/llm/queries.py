@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, ngram_join, suffix_dedup, token_files, toxicity
+from . import bpe, decontaminate, lm_score, ngram_join, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +77,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, keep=["doc_id"])
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), digest(F.col("kept")).alias("kept_sha256"))
+
+
+@register
+def op5_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return lm_score.score_difference(table(spark, sf_dir, "documents"), target)
