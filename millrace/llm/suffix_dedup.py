@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrays import _BASE, _BASE_INVERSE, _BYTE_VALUES, HASH_BYTES, byte_view, mix, powers, slices
 from .buckets import bucket_count, packed, split, unpacked
@@ -294,27 +295,36 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", keep:
     runs = repeated_windows(texts.join(marks, ["h1", "h2"], "left"), length, buckets)
     found = runs.groupBy("h1", "h2").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
 
+    own = {"n_bytes", "removed", "kept"}
+    kept = [c for c in ([x for x in docs.columns if x != text] if keep is None else keep) if c.lower() not in own]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in kept]).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # Rows meet their text where it already lies; a text that goes as a whole need not be there.
+    size = F.octet_length("_text").cast("long")
+    whole = (F.col("copies") > 1) & (size >= length)
+    lean = texts.select("h1", "h2", size.alias("n_bytes"), whole.alias("_whole"), F.when(whole, F.lit("")).otherwise(F.col("_text")).alias("_text"))
+    placed = hashed(rows).drop("_text").join(lean, ["h1", "h2"]).join(found, ["h1", "h2"], "left").select("_row", "n_bytes", "_whole", "runs", "_text")
+    span = T.StructType().add("begin", T.LongType()).add("end", T.LongType())
+    schema = T.StructType([placed.schema["_row"]]).add("n_bytes", T.LongType()).add("removed", T.ArrayType(span)).add("kept", T.BinaryType())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for part in slices(batch, "_text", SLICE):
                 data, offsets = byte_view(part.column("_text"))
                 spans, kept = [], []
-                for k, (copies, runs) in enumerate(zip(part.column("copies").to_pylist(), part.column("runs"))):
+                for k, (gone, total, runs) in enumerate(zip(part.column("_whole").to_pylist(), part.column("n_bytes").to_pylist(), part.column("runs"))):
                     one = data[offsets[k] : offsets[k + 1]]
+                    if gone:
+                        spans.append([{"begin": 0, "end": total}])
+                        kept.append(b"")
+                        continue
                     cut = np.zeros((0, 2), np.int64)
-                    if copies > 1 and len(one) >= length:
-                        cut = np.array([[0, len(one)]])
-                    elif runs.is_valid:
+                    if runs.is_valid:
                         cut = merged_spans(*(runs.values.field(c).to_numpy() + extra for c, extra in (("begin", 0), ("end", length - 1))))
                     edges = [0, *cut.reshape(-1).tolist(), len(one)]
                     kept.append(b"".join(one[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2])))
                     spans.append([{"begin": a, "end": b} for a, b in cut.tolist()])
-                kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-                columns = [part.column("h1"), part.column("h2"), pa.array(np.diff(offsets)), pa.array(spans, kind), pa.array(kept, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "n_bytes", "removed", "kept"])
+                yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("n_bytes"), pa.array(spans, kind), pa.array(kept, pa.binary())], names=schema.names)
 
-    done = texts.join(found, ["h1", "h2"], "left").mapInArrow(run, "h1 long, h2 long, n_bytes long, removed array<struct<begin: long, end: long>>, kept binary")
-    own = {"n_bytes", "removed", "kept"}
-    kept = [c for c in ([x for x in docs.columns if x != text] if keep is None else keep) if c.lower() not in own]
-    rows = docs.select(F.struct(*[f"`{c}`" for c in kept]).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    return hashed(rows).drop("_text").join(done, ["h1", "h2"]).select("_row.*", "n_bytes", "removed", "kept")
+    done = placed.mapInArrow(run, schema)
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in kept], "n_bytes", "removed", "kept")

@@ -175,7 +175,7 @@ def read_token_files(catalogue: DataFrame, lists: bool = True) -> DataFrame:
     """
     kept = [f for f in catalogue.schema.fields if f.name not in ("ids", "ids_crc32")]
     schema = T.StructType([*kept, T.StructField("ids_crc32", T.LongType())])
-    schema = schema.add("ids", "array<bigint>") if lists else schema
+    schema = schema.add("ids", T.ArrayType(T.LongType())) if lists else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple[str, FrameReader | None] = ("", None)
