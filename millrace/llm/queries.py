@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm_score, ngram_join, suffix_dedup, token_files, toxicity
+from . import bpe, decontaminate, lm_score, ngram_join, suffix_dedup, token_files, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +83,14 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
     return lm_score.score_difference(table(spark, sf_dir, "documents"), target)
+
+
+@register
+def op6_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select(F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@register
+def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5, scale=256.0)
