@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm_score, ngram_join, suffix_dedup, token_files, topk, toxicity, warc
+from . import bpe, decontaminate, html_extract, lm_score, ngram_join, suffix_dedup, token_files, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,10 @@ def op6_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5, scale=256.0)
+
+
+@register
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract_text(pages, html_extract.train_extractor(pages), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
