@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 HASH_BYTES = 1 << 20  # bytes hashed at once
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
@@ -69,11 +69,20 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A column, or a field of a struct column by its dotted name."""
+    top, *inner = name.split(".")
+    found = batch.column(top)
+    for field in inner:
+        found = found.field(field)
+    return found
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch by the bytes of one column."""
     if batch.num_rows == 0:
         return
-    ends = byte_view(batch.column(column))[1][1:]
+    ends = byte_view(column_of(batch, column))[1][1:]
     row = 0
     while row < batch.num_rows:
         done = ends[row - 1] if row else 0
@@ -154,18 +163,21 @@ def append_columns(
 
     ``make`` is called once in each task and gives the function from texts to
     the values of ``own``.  ``keep`` names the columns to carry along (all by
-    default); one that has the name of an own column gives way to it.
+    default); one that has the name of an own column gives way to it.  The text
+    may be a field of a kept struct ("row.text").
     """
     taken = {f.name.lower() for f in own}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("_input"))
-    schema = T.StructType([*source.schema.fields[:-1], *own.fields])
+    carried = column.split(".")[0] in kept  # then the text need not travel twice
+    name = column if carried else "_input"
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *([] if carried else [F.col(column).alias(name)]))
+    schema = T.StructType([*source.schema.fields[: len(kept)], *own.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for part in slices(batch, "_input", limit):
-                columns = [*part.columns[:-1], *compute(part.column("_input"))]
+            for part in slices(batch, name, limit):
+                columns = [*part.columns[: len(kept)], *compute(column_of(part, name))]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)

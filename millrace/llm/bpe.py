@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .arrays import append_columns, byte_view
-from .pieces import PieceIds
+from .pieces import piece_ids
 
 SLICE = 1 << 20  # bytes of text encoded at once
 NO_IDS = np.zeros(0, np.int32)
@@ -77,7 +77,7 @@ class FragmentCoder:
     """Encodes texts through their fragments, with one vocabulary."""
 
     def __init__(self, path: str):
-        self.pieces = PieceIds(path)
+        self.pieces = piece_ids(path)
         self.table, special = token_bytes(path)
         self.cuts = certain_cuts(self.table)
         self.special = re.compile(b"|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 PIECES_KEPT = 1 << 17
 
 
+@lru_cache(maxsize=4)
+def piece_ids(path: str, kept: int = PIECES_KEPT) -> PieceIds:
+    """The same for all tasks of a worker process, which keeps what it has learnt."""
+    return PieceIds(path, kept)
+
+
 class PieceIds:
     """Ids of pieces by a tokenizer.  At most ``kept`` pieces stay known between two batches."""
 
@@ -34,7 +42,7 @@ class PieceIds:
         fresh, sizes = [], []
         for k in range(0, len(missing), 2048):
             part = missing[k : k + 2048]
-            for piece, found in zip(part, self.tokenizer.encode_batch([p.decode() for p in part], add_special_tokens=False)):
+            for piece, found in zip(part, self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)):
                 known[piece] = len(known)
                 fresh += found.ids
                 sizes.append(len(found.ids))

@@ -32,10 +32,11 @@ from pyspark.sql import types as T
 
 from ..session import fresh_path
 from .arrays import slices
-from .pieces import PieceIds
+from .pieces import piece_ids
 from .shared_files import attempt_name, file_system
 
 SLICE = 1 << 20  # bytes of text encoded at once
+WORDS_KEPT = 1 << 19
 FRAME_IDS = 1 << 16  # ids in a frame, unless one document has more
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -51,7 +52,7 @@ class WordCoder:
     """
 
     def __init__(self, path: str):
-        self.pieces = PieceIds(path)
+        self.pieces = piece_ids(path, WORDS_KEPT)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text followed by ``end``; where each text begins."""

@@ -34,8 +34,10 @@ from pyspark.sql import types as T
 from .arrays import ALNUM, append_columns, byte_view, lowered, slices, span_hashes, word_bounds
 
 PREFIXES = (4, 5, 6, 7, 8)
+SLICE = 1 << 20  # bytes of text at once
 PER_CLASS = 2500
 FOLDS = 4
+LEAST_PRECISION = 0.8
 EVIDENCE = 30.0  # least likelihood ratio of a feature
 LEAST_ROWS = 3  # with a feature among the sample
 MOST_FEATURES = 4096
@@ -148,16 +150,17 @@ def train(features: np.ndarray, rows: np.ndarray, labels: np.ndarray, weight: np
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The middle of the cuts with the best F1 on the held-out predictions."""
-    if len(y) == 0 or y.min() == y.max():
-        return 1.1
+    """The middle of the cut with the best F1 on the held-out predictions, among
+    those of which ``LEAST_PRECISION`` are right; without one nothing is rejected."""
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(weight[order] * y[order])
-    every = np.cumsum(weight[order])
-    f1 = 2 * right / (every + (weight * y).sum())
-    best = int(np.argmax(f1))
-    below = p[order[best + 1]] if best + 1 < len(p) else 0.0
-    return float((p[order[best]] + below) / 2)
+    p, y, weight = p[order], y[order], weight[order]
+    right, every = np.cumsum(weight * y), np.cumsum(weight)
+    below = np.append(p[1:], 0.0)
+    good = np.flatnonzero((p > below) & (right >= LEAST_PRECISION * every))
+    if not len(good):
+        return 1.1
+    best = good[int(np.argmax(2 * right[good] / (every[good] + right[-1])))]
+    return float((p[best] + below[best]) / 2)
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], text: str = "text", key: str = "doc_id", per_class: int = PER_CLASS) -> Chain:
@@ -170,7 +173,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 features, rows = word_features(part.column("_text"))
                 pairs = np.unique(rows.astype(np.uint64) << np.uint64(32) | features)
                 at = np.searchsorted(pairs, np.arange(part.num_rows + 1, dtype=np.uint64) << np.uint64(32))
@@ -207,4 +210,4 @@ def score_chain(docs: DataFrame, chain: Chain, text: str = "text", keep: list[st
 
         return run
 
-    return append_columns(docs, text, make, own, keep)
+    return append_columns(docs, text, make, own, keep, SLICE)
