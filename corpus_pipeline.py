@@ -16,9 +16,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the classifier chain does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("low_quality", 1 - F.col("quality"))
     chain = toxicity.train_chain(docs, labels, ["low_quality", "toxic"])
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("_row"), "text")
-    scored = toxicity.score_chain(packed, chain, keep=["_row"])
+    scored = toxicity.score_chain(docs.select(F.struct(*docs.columns).alias("_row")), chain, text="_row.text", keep=["_row"])
     return scored.where(~F.col("rejected")).select("_row.*")
 
 
