@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -9,12 +10,6 @@ import numpy as np
 PIECES_KEPT = 1 << 17
 
 
-@lru_cache(maxsize=4)
-def piece_ids(path: str, kept: int = PIECES_KEPT) -> PieceIds:
-    """The same for all tasks of a worker process, which keeps what it has learnt."""
-    return PieceIds(path, kept)
-
-
 class PieceIds:
     """Ids of pieces by a tokenizer.  At most ``kept`` pieces stay known between two batches."""
 
@@ -33,6 +28,14 @@ class PieceIds:
         self.sizes = np.zeros(0, np.int64)
         self.begins = np.zeros(0, np.int64)
 
+    def encoded(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece."""
+        out: list[list[int]] = []
+        for k in range(0, len(pieces), 2048):
+            part = [p.decode() for p in pieces[k : k + 2048]]
+            out += [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return out
+
     def numbers(self, pieces: list[bytes]) -> np.ndarray:
         """The number of each piece, for ``gather``; valid until the next call."""
         if len(self.known) > self.kept:
@@ -40,12 +43,10 @@ class PieceIds:
         known = self.known
         missing = list({p for p in pieces if p not in known})
         fresh, sizes = [], []
-        for k in range(0, len(missing), 2048):
-            part = missing[k : k + 2048]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)):
-                known[piece] = len(known)
-                fresh += found.ids
-                sizes.append(len(found.ids))
+        for piece, ids in zip(missing, self.encoded(missing)):
+            known[piece] = len(known)
+            fresh += ids
+            sizes.append(len(ids))
         if missing:
             self.flat = np.concatenate([self.flat, np.array(fresh, np.uint32)])
             self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
@@ -58,3 +59,48 @@ class PieceIds:
         ends = np.zeros(len(number) + 1, np.int64)
         np.cumsum(sizes, out=ends[1:])
         return self.flat[np.repeat(self.begins[number] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+
+class WordIds(PieceIds):
+    """For tokenizers that mark the last token of a word with an ending.
+
+    Plain words, letters with or without marks after them, are encoded many at
+    once; the endings tell where each of them ends.
+    """
+
+    #: Latin letters whose lower case is one letter, then marks: one or two words of the tokenizer.
+    PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+([.,;:!?]*)")
+    TOGETHER = 512
+
+    def __init__(self, path: str, kept: int = PIECES_KEPT, ending: str = "</w>"):
+        super().__init__(path, kept)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[n for token, n in vocabulary.items() if token.endswith(ending)]] = True
+
+    def encoded(self, pieces: list[bytes]) -> list[list[int]]:
+        texts = [p.decode() for p in pieces]
+        plain = [self.PLAIN.fullmatch(t) for t in texts]
+        out: list[list[int] | None] = [None] * len(texts)
+        chosen = [k for k, m in enumerate(plain) if m]
+        groups = [chosen[k : k + self.TOGETHER] for k in range(0, len(chosen), self.TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(texts[k] for k in g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined):
+            ids = found.ids
+            last = np.flatnonzero(self.ends[ids]) + 1
+            words = np.cumsum([1 + bool(plain[k][1]) for k in group])
+            if len(last) != words[-1] or last[-1] != len(ids):
+                continue  # left for the plainer way
+            stops = last[words - 1].tolist()
+            for k, a, b in zip(group, [0, *stops], stops):
+                out[k] = ids[a:b]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(rest, super().encoded([pieces[k] for k in rest])):
+            out[k] = ids
+        return out
+
+
+@lru_cache(maxsize=4)
+def piece_ids(path: str, kept: int = PIECES_KEPT, kind: type[PieceIds] = PieceIds) -> PieceIds:
+    """The same for all tasks of a worker process, which keeps what it has learnt."""
+    return kind(path, kept)

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..session import fresh_path
 from .arrays import slices
-from .pieces import piece_ids
+from .pieces import WordIds, piece_ids
 from .shared_files import attempt_name, file_system
 
 SLICE = 1 << 20  # bytes of text encoded at once
@@ -52,7 +52,7 @@ class WordCoder:
     """
 
     def __init__(self, path: str):
-        self.pieces = piece_ids(path, WORDS_KEPT)
+        self.pieces = piece_ids(path, WORDS_KEPT, WordIds)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text followed by ``end``; where each text begins."""
