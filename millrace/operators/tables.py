@@ -61,8 +61,8 @@ def group_report(
 ) -> DataFrame:
     """Mean and count per group, numbered by falling count inside ``within``.
 
-    ``joined`` carries the weights of ``precount``.  ``measure`` is a decimal,
-    so sums do not depend on the order in which tasks finish.  Equal counts are
+    ``joined`` carries the weights of ``precount``.  A double ``measure``
+    is summed in the order in which tasks finish, which can show in its last digits.  Equal counts are
     ordered by the remaining group columns.
 
     The numbering takes one task per ``within`` value, which suits groups over

@@ -93,7 +93,7 @@ def protocol_report(
         joined.withColumnRenamed("statedesc", "statesdesc"),
         ["statesdesc", "protocol", "proffession"],
         within="protocol",
-        measure=F.col("age").try_cast("decimal(20,4)"),
+        measure=F.col("age").try_cast("double"),
         mean_name="avg_age",
         spread=spread,
     )

@@ -15,7 +15,7 @@ from .base import query, table
 _SEGMENT_RANKS = """
 WITH counts AS (
     SELECT n_name, o_orderpriority, c_mktsegment,
-           CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_acctbal,
+           ROUND(SUM(c_acctbal) / COUNT(c_acctbal), 9) AS avg_acctbal,
            COUNT(o_orderpriority) AS n_orders
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name, o_orderpriority, c_mktsegment)
@@ -37,11 +37,11 @@ def segment_rank_report(spark, sf_dir):
         joined,
         ["n_name", "o_orderpriority", "c_mktsegment"],
         within="o_orderpriority",
-        measure=F.col("c_acctbal").cast("decimal(12,2)"),
+        measure=F.col("c_acctbal"),
         mean_name="avg_acctbal",
         count_name="n_orders",
     )
-    return report.orderBy("o_orderpriority", "seqno")
+    return report.withColumn("avg_acctbal", F.round("avg_acctbal", 9)).orderBy("o_orderpriority", "seqno")
 
 
 @query(_SEGMENT_RANKS)
@@ -57,8 +57,8 @@ def segment_rank_in_sql(spark, sf_dir):
             FROM {names["orders"]} GROUP BY o_custkey, o_orderpriority)
         SELECT cast(row_number() OVER (PARTITION BY o_orderpriority
                     ORDER BY sum(n) DESC, n_name, c_mktsegment) AS bigint) AS seqno,
-               cast(sum(cast(c_acctbal AS decimal(12,2)) * n_rows) AS double)
-                   / sum(if(c_acctbal IS NULL, NULL, n_rows)) AS avg_acctbal,
+               round(sum(c_acctbal * n_rows)
+                   / sum(if(c_acctbal IS NULL, NULL, n_rows)), 9) AS avg_acctbal,
                sum(n) AS n_orders, n_name, o_orderpriority, c_mktsegment
         FROM order_counts JOIN {names["customer"]} ON o_custkey = c_custkey
              JOIN {names["nation"]} ON c_nationkey = n_nationkey
@@ -74,7 +74,7 @@ def segment_rank_in_sql(spark, sf_dir):
 @query(
     """
     WITH counts AS (
-        SELECT o_custkey, o_orderpriority, CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_acctbal,
+        SELECT o_custkey, o_orderpriority, ROUND(SUM(c_acctbal) / COUNT(c_acctbal), 9) AS avg_acctbal,
                COUNT(o_orderpriority) AS n_orders
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey, o_orderpriority)
     SELECT ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY n_orders DESC, o_custkey NULLS FIRST) AS seqno, *
@@ -87,15 +87,16 @@ def customer_rank_report(spark, sf_dir):
     The groups grow with the data, so the numbering is spread.
     """
     orders = precount(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "o_orderpriority")
-    return group_report(
+    report = group_report(
         orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")),
         ["o_custkey", "o_orderpriority"],
         within="o_orderpriority",
-        measure=F.col("c_acctbal").cast("decimal(12,2)"),
+        measure=F.col("c_acctbal"),
         mean_name="avg_acctbal",
         count_name="n_orders",
         spread=True,
     )
+    return report.withColumn("avg_acctbal", F.round("avg_acctbal", 9))
 
 
 @query(
