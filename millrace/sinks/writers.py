@@ -57,7 +57,7 @@ def write_csv(frame: DataFrame, path: str, *, single_file: bool = False, by: tup
     """Replace a CSV folder.  ``single_file`` puts all rows into one task."""
     out = _by_slice(frame, by) if by else frame
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)
     writer = out.write.mode("overwrite").options(**options)
     (writer.partitionBy(*by) if by else writer).csv(path)
 

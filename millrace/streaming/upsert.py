@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,9 +64,14 @@ class KeyedLog:
         )
 
     def log(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        """All logged rows; ``schema`` is that of the written rows."""
+        """All logged rows, none before the first batch; ``schema`` is that of the written rows."""
         whole = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        return spark.read.schema(whole).parquet(self.path)
+        try:
+            return spark.read.schema(whole).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], whole)
 
     def current(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """One row per key."""
