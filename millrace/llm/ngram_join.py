@@ -10,10 +10,13 @@ The n-grams of a set are dealt by hash over more than H segments: each
 differing n-gram spoils one segment, so one filled segment at least is the
 same in both sets, and its hash is a key that both have.  Segments are so many
 that a set leaving all but H of them empty is less likely than two n-grams with the same
-hash.  Sets that share a key, directly or through others, form a block.
+hash.  Sets that share a key, directly or through others, form a block.  Where
+sets of one slice of a task share a key, they are linked under a key of that
+slice, and only the smallest goes on under the common one: however frequent a
+passage is, a slice adds one row to its key.
 
-**Tiles.**  Within a block, sets are compared band by band in tiles of bounded
-size; a large block becomes many pairs of tiles.  Each set has a hashed bitmap
+**Tiles.**  Within a block, sets are compared band by band in tiles, bounded by
+sets and by n-grams; a large block becomes many pairs of tiles.  Each set has a hashed bitmap
 of its n-grams.  The number of bits in which two bitmaps differ is at most the
 number of n-grams in which the sets differ, so it bounds the overlap from
 above; what is left goes through the exact intersection of the sorted arrays.
@@ -32,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +46,7 @@ from .buckets import bucket_count, grouped, packed, split, unpacked
 from .components import connected_components
 
 TILE_SETS = 2048
+TILE_GRAMS = 1 << 21  # 16 MB of hashes
 
 
 def ngram_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +110,16 @@ def segment_keys(grams: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.nd
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def met_within(keys: np.ndarray, nodes: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same links with one row for each key, and under a salted key all nodes of a key that has several."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    begins = np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]])
+    several = ~begins | np.append(~begins[1:], np.zeros(min(len(keys), 1), bool))
+    salted = mix(keys[several] ^ mix(np.array([salt], np.uint64)))
+    return np.concatenate([keys[begins], salted]), np.concatenate([nodes[begins], nodes[several]])
+
+
 def with_nodes(docs: DataFrame, width: int, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns, ``n_shingles`` and ``node`` (null for the empty set)."""
 
@@ -135,10 +150,12 @@ def shared_keys(docs: DataFrame, width: int, percent: int, text: str) -> DataFra
                 fresh[unique] = True
                 keys, owners = segment_keys(grams, at, percent)
                 kept = fresh[owners]
-                keys, owners = keys[kept], owners[kept]
+                # The salt is the same when the task is run again.
+                salt = (int(node.sum(dtype=np.uint64)) + (TaskContext.get().partitionId() << 40)) % (1 << 64)
+                keys, nodes = met_within(keys[kept], node[owners[kept]], salt)
                 order, present, begins = split(keys, buckets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(present, pa.int32()), packed(keys[order], begins), packed(node[owners[order]], begins)],
+                    [pa.array(present, pa.int32()), packed(keys[order], begins), packed(nodes[order], begins)],
                     names=["bucket", "keys", "nodes"],
                 )
 
@@ -202,7 +219,9 @@ class Tile:
         return np.array(found_a, np.int64), np.array(found_b, np.int64)
 
 
-def compared(blocks: DataFrame, sets: DataFrame, width: int, percent: int, tile_sets: int = TILE_SETS) -> DataFrame:
+def compared(
+    blocks: DataFrame, sets: DataFrame, width: int, percent: int, tile_sets: int = TILE_SETS, tile_grams: int = TILE_GRAMS
+) -> DataFrame:
     """Links between different sets of a block.  ``sets``: node, n_shingles, _text."""
     members = sets.join(blocks, "node").select("node", "n_shingles", "_text", F.col("root").alias("block"))
     # The lower edge of every band, as in size_bands, found from the size by a bounded search.
@@ -212,13 +231,13 @@ def compared(blocks: DataFrame, sets: DataFrame, width: int, percent: int, tile_
     members.write.parquet(path)
     members = sets.sparkSession.read.parquet(path)
 
-    counts = members.groupBy("block", "band").agg(F.count("*").alias("n"))
-    whole = counts.groupBy("block").agg(F.sum("n").alias("n_block"))
+    counts = members.groupBy("block", "band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("grams"))
+    whole = counts.groupBy("block").agg(F.sum("n").alias("n_block"), F.sum("grams").alias("grams_block"))
     tiles = counts.join(whole, "block").select(
         "block",
         "band",
-        (F.col("n_block") <= tile_sets).alias("small"),
-        F.ceil(F.col("n") / (tile_sets // 2)).cast("int").alias("tiles"),
+        ((F.col("n_block") <= tile_sets) & (F.col("grams_block") <= tile_grams)).alias("small"),
+        F.ceil(F.greatest(F.col("n") / (tile_sets // 2), F.col("grams") / (tile_grams // 2))).cast("int").alias("tiles"),
     )
     above = tiles.select("block", (F.col("band") - 1).alias("band"), F.col("tiles").alias("tiles_above"))
     below = tiles.select("block", (F.col("band") + 1).alias("band"), F.col("tiles").alias("tiles_below"))
@@ -246,7 +265,7 @@ def compared(blocks: DataFrame, sets: DataFrame, width: int, percent: int, tile_
     return spread.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
-def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", tile_sets: int = TILE_SETS) -> DataFrame:
+def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", tile_sets: int = TILE_SETS, tile_grams: int = TILE_GRAMS) -> DataFrame:
     """A row per document: the key, ``n_shingles``, and ``component_id``, the smallest key it is linked to, directly or through others."""
     source = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     rows = with_nodes(source, width, "_text", ["_key"])
@@ -256,7 +275,7 @@ def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80, key: st
 
     blocks = connected_components(shared_keys(source, width, percent, "_text"))
     sets = with_nodes(source, width, "_text", ["_text"]).where("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("_text").alias("_text"))
-    roots = connected_components(compared(blocks, sets, width, percent, tile_sets))
+    roots = connected_components(compared(blocks, sets, width, percent, tile_sets, tile_grams))
 
     first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("_key").alias("_first"))
     named = first.join(roots, "node", "left").select("node", "_first", F.coalesce("root", "node").alias("root"))

@@ -72,8 +72,8 @@ def shingles(text, width):
     return frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1)))
 
 
-@pytest.mark.parametrize("width,percent,tile", [(4, 85, 2048), (5, 80, 4), (1, 50, 2048)])
-def test_ngram_components(docs, texts, width, percent, tile):
+@pytest.mark.parametrize("width,percent,tile,grams", [(4, 85, 2048, 1 << 21), (5, 80, 4, 1 << 21), (5, 80, 2048, 60), (1, 50, 2048, 1 << 21)])
+def test_ngram_components(docs, texts, width, percent, tile, grams):
     sets = [shingles(t, width) for t in texts]
     root = list(range(len(sets)))
 
@@ -87,10 +87,23 @@ def test_ngram_components(docs, texts, width, percent, tile):
             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    out = by_id(ngram_join.ngram_components(docs, width, percent, tile_sets=tile))
+    out = by_id(ngram_join.ngram_components(docs, width, percent, tile_sets=tile, tile_grams=grams))
     assert {k: (r["n_shingles"], r["component_id"]) for k, r in out.items()} == {k: (len(s), find(k)) for k, s in enumerate(sets)}
 
 
+def test_hot_keys_meet_within_slices():
+    keys = np.array([5, 5, 9, 5, 7, 7], np.uint64)
+    nodes = np.array([4, 2, 1, 3, 8, 6], np.uint64)
+    k, n = ngram_join.met_within(keys, nodes, 77)
+    common = np.isin(k, keys)
+    assert sorted(zip(k[common].tolist(), n[common].tolist())) == [(5, 2), (7, 6), (9, 1)]
+    groups: dict[int, list[int]] = {}
+    for a, b in zip(k[~common].tolist(), n[~common].tolist()):
+        groups.setdefault(a, []).append(b)
+    assert sorted(sorted(g) for g in groups.values()) == [[2, 3, 4], [6, 8]]
+    assert not len(ngram_join.met_within(keys[:0], nodes[:0], 77)[0])
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     out = {r["node"]: r["root"] for r in components.connected_components(links).collect()}
