@@ -16,7 +16,8 @@ slice, and only the smallest goes on under the common one: however frequent a
 passage is, a slice adds one row to its key.
 
 **Tiles.**  Within a block, sets are compared band by band in tiles, bounded by
-sets and by n-grams; a large block becomes many pairs of tiles.  Each set has a hashed bitmap
+sets and by n-grams; a large block becomes many pairs of tiles, whose sets lie
+in files that are written once and read by each pair.  Each set has a hashed bitmap
 of its n-grams.  The number of bits in which two bitmaps differ is at most the
 number of n-grams in which the sets differ, so it bounds the overlap from
 above; what is left goes through the exact intersection of the sorted arrays.
@@ -44,6 +45,7 @@ from ..session import fresh_path
 from .arrays import NOT_SPACE, append_columns, byte_view, lowered, mix, slices, window_hashes, word_bounds, word_hashes
 from .buckets import bucket_count, grouped, packed, split, unpacked
 from .components import connected_components
+from .shared_files import attempt_name, file_system
 
 TILE_SETS = 2048
 TILE_GRAMS = 1 << 21  # 16 MB of hashes
@@ -240,29 +242,76 @@ def compared(
         F.ceil(F.greatest(F.col("n") / (tile_sets // 2), F.col("grams") / (tile_grams // 2))).cast("int").alias("tiles"),
     )
     above = tiles.select("block", (F.col("band") - 1).alias("band"), F.col("tiles").alias("tiles_above"))
-    below = tiles.select("block", (F.col("band") + 1).alias("band"), F.col("tiles").alias("tiles_below"))
-    tiles = tiles.join(above, ["block", "band"], "left").join(below, ["block", "band"], "left").na.fill(0, ["tiles_above", "tiles_below"])
+    tiles = tiles.join(above, ["block", "band"], "left").na.fill(0, ["tiles_above"])
     placed = members.join(tiles, ["block", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    # A task is a pair of tiles: (block, lower band, its tile, upper band, its tile); a set goes to all pairs of its tile.
-    pairs = F.expr(
-        """CASE WHEN small THEN array(named_struct('lb', 0, 'lt', 0, 'ub', 0, 'ut', 0, 'side', 0)) ELSE concat(
-             transform(sequence(0, tiles - 1), t -> named_struct('lb', band, 'lt', least(t, own), 'ub', band, 'ut', greatest(t, own), 'side', int(own > t))),
-             CASE WHEN tiles_above > 0 THEN transform(sequence(0, tiles_above - 1), t -> named_struct('lb', band, 'lt', own, 'ub', band + 1, 'ut', t, 'side', 0)) ELSE array() END,
-             CASE WHEN tiles_below > 0 THEN transform(sequence(0, tiles_below - 1), t -> named_struct('lb', band - 1, 'lt', t, 'ub', band, 'ut', own, 'side', 1)) ELSE array() END) END"""
-    )
-    spread = placed.select("block", "node", "_text", F.explode(pairs).alias("p")).select(
-        F.concat_ws("/", "block", "p.lb", "p.lt", "p.ub", "p.ut").alias("task"), "node", F.col("p.side").alias("side"), "_text"
+    small = placed.where("small").select(F.col("block").alias("tile"), "node", "_text")
+    large = placed.where("NOT small").select(F.concat_ws("/", "block", "band", "own").alias("tile"), "node", "_text", "block", "band", "own", "tiles", "tiles_above")
+    within = small.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda batches: compare_whole(batches, width, percent), "a long, b long")
+    return within.unionByName(compared_across(large, width, percent))
+
+
+def compare_whole(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links within each tile, from rows sorted by tile."""
+    for table in grouped(batches, "tile"):
+        grams, at = ngram_sets(table.column("_text").combine_chunks(), width)
+        a, b = Tile(table.column("node").to_numpy(), np.zeros(table.num_rows, np.int64), grams, at, percent).links()
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def compared_across(members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links within the tiles of large blocks and across them.
+
+    Each tile is written once to the shared folder, and each pair of tiles
+    reads its two files, so what is shuffled does not grow with their number.
+    Only files that a finished task has named are read.
+    """
+    spark = members.sparkSession
+    folder = fresh_path(spark, "tiles")
+    about = ["block", "band", "own", "tiles", "tiles_above"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = file_system(folder)
+        for table in grouped(batches, "tile"):
+            system.create_dir(root, recursive=True)
+            name = attempt_name("tile", "arrow")
+            with system.open_output_stream(f"{root}/{name}", compression=None) as sink:
+                held = table.select(["node", "_text"])
+                with pa.ipc.new_stream(sink, held.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(held)
+            first = [table.column(c).slice(0, 1).combine_chunks() for c in about]
+            yield pa.RecordBatch.from_arrays([*first, pa.array([name])], names=[*about, "file"])
+
+    path = fresh_path(spark, "tile-catalogue")
+    schema = T.StructType([*members.select(*about).schema.fields, T.StructField("file", T.StringType())])
+    members.repartition("tile").sortWithinPartitions("tile").mapInArrow(write, schema).write.parquet(path)
+    tiles = spark.read.parquet(path)
+
+    # Every tile with the later ones of its band and with all of the next band.
+    others = F.expr(
+        """concat(transform(sequence(own, tiles - 1), t -> named_struct('band', band, 'own', t)),
+                  IF(tiles_above > 0, transform(sequence(0, tiles_above - 1), t -> named_struct('band', band + 1, 'own', t)), array()))"""
     )
+    pairs = tiles.select("block", F.col("file").alias("lower"), F.explode(others).alias("o")).select("block", F.col("o.band").alias("band"), F.col("o.own").alias("own"), "lower")
+    pairs = pairs.join(tiles.select("block", "band", "own", F.col("file").alias("upper")), ["block", "band", "own"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, "task"):
-            table = table.combine_chunks()
-            grams, at = ngram_sets(table.column("_text").combine_chunks(), width)
-            tile = Tile(table.column("node").to_numpy(), table.column("side").to_numpy(), grams, at, percent)
-            a, b = tile.links()
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return spread.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
+        system, root = file_system(folder)
+
+        def read(name: str) -> pa.Table:
+            with system.open_input_stream(f"{root}/{name}", compression=None) as source:
+                return pa.ipc.open_stream(source).read_all()
+
+        for batch in batches:
+            for lower, upper in zip(batch.column("lower").to_pylist(), batch.column("upper").to_pylist()):
+                found = [read(name) for name in dict.fromkeys((lower, upper))]
+                side = np.repeat(np.arange(len(found)), [len(t) for t in found])
+                table = pa.concat_tables(found)
+                grams, at = ngram_sets(table.column("_text").combine_chunks(), width)
+                a, b = Tile(table.column("node").to_numpy(), side, grams, at, percent).links()
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.select("lower", "upper").repartition(tasks, "lower", "upper").mapInArrow(run, "a long, b long")
 
 
 def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", tile_sets: int = TILE_SETS, tile_grams: int = TILE_GRAMS) -> DataFrame:
