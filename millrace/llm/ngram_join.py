@@ -68,6 +68,13 @@ def ngram_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else grams[:0]), at
 
 
+def sliced_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``ngram_sets``, a few megabytes of text at a time."""
+    found = [ngram_sets(part.column("_text"), width) for part in slices(pa.RecordBatch.from_arrays([column], names=["_text"]), "_text")]
+    sizes = np.concatenate([np.zeros(1, np.int64), *(np.diff(at) for _, at in found)])
+    return np.concatenate([np.zeros(0, np.uint64), *(grams for grams, _ in found)]), np.cumsum(sizes)
+
+
 def nodes_of(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A number for every set, the same for equal sets; 0 for the empty one."""
     sums = np.zeros(len(grams) + 1, np.uint64)
@@ -253,7 +260,7 @@ def compared(
 def compare_whole(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links within each tile, from rows sorted by tile."""
     for table in grouped(batches, "tile"):
-        grams, at = ngram_sets(table.column("_text").combine_chunks(), width)
+        grams, at = sliced_sets(table.column("_text").combine_chunks(), width)
         a, b = Tile(table.column("node").to_numpy(), np.zeros(table.num_rows, np.int64), grams, at, percent).links()
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -306,7 +313,7 @@ def compared_across(members: DataFrame, width: int, percent: int) -> DataFrame:
                 found = [read(name) for name in dict.fromkeys((lower, upper))]
                 side = np.repeat(np.arange(len(found)), [len(t) for t in found])
                 table = pa.concat_tables(found)
-                grams, at = ngram_sets(table.column("_text").combine_chunks(), width)
+                grams, at = sliced_sets(table.column("_text").combine_chunks(), width)
                 a, b = Tile(table.column("node").to_numpy(), side, grams, at, percent).links()
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
