@@ -3,17 +3,19 @@
 A text is its set of distinct word n-grams (64-bit hashes).  Texts with the
 same set are one node; only different sets are compared.
 
-**Bands and segments.**  Sizes fall into bands so wide that two linked sets
-lie in the same or in neighbouring bands; a tile holds one band and the next.
-Linked sets of a tile differ in at most H n-grams, H being fixed by the tile.
-The n-grams of a set are dealt by hash over more than H segments: each
-differing n-gram spoils one segment, so one filled segment at least is the
-same in both sets, and its hash is a key that both have.  Segments are so many
-that a set leaving all but H of them empty is less likely than two n-grams with the same
-hash.  Sets that share a key, directly or through others, form a block.  Where
-sets of one slice of a task share a key, they are linked under a key of that
-slice, and only the smallest goes on under the common one: however frequent a
-passage is, a slice adds one row to its key.
+**Prefixes.**  All n-grams are ranked by the number of slices that hold them,
+rare ones first.  Two linked sets share one at least of the rarest n-grams of
+each, the share of a set that may differ and one more; these are the keys of a
+set.  A passage that many texts hold is frequent, so it is a key only of texts
+that hold little else.  An n-gram that only one set has is no key.  Sets that
+share a key, directly or through others, form a block.  Where sets of one
+slice share a key, they are linked under a key of that slice, and only the
+smallest goes on under the common one: however frequent an n-gram is, a slice
+adds one row to its key.  Ranks need not be exact, only the same everywhere,
+so the counting knows an n-gram by 32 bits within its bucket.
+
+**Bands.**  Sizes fall into bands so wide that two linked sets lie in the same
+or in neighbouring bands; a tile holds one band and the next.
 
 **Tiles.**  Within a block, sets are compared band by band in tiles, bounded by
 sets and by n-grams; a large block becomes many pairs of tiles, whose sets lie
@@ -32,11 +34,12 @@ share a component; a null id never names one unless all its members are null.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,32 +94,19 @@ def size_bands(percent: int, largest: int) -> np.ndarray:
     return np.array(edges, np.int64)
 
 
-def segment_keys(grams: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all filled segments, for both tiles of every set, and the set each is from."""
+def rank_of(count: np.ndarray) -> np.ndarray:
+    """A byte that grows with the count; 1 for those counted once only."""
+    return np.minimum(8 * np.log2(count) + 1, 255).astype(np.uint8)
+
+
+def prefix_grams(grams: np.ndarray, at: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the n-grams among the first of their set by rank and value, one of which each linked set has as well; the set of each."""
     size = np.diff(at)
-    edges = size_bands(percent, int(size.max(initial=1)))
-    band = np.searchsorted(edges, size, "right") - 1
-    differ = (100 - percent) * (edges[1:] - 1) // percent  # H of the tile whose lower band is this
-    parts = np.where(differ == 0, 1, (115 * (differ + 1) + 99) // 100 + 8)
-    parts = np.where((differ > 0) & (edges[:-1] < 20), np.maximum(parts, 64), parts)
-    keys, owners = [], []
-    spread = mix(grams ^ np.uint64(0x5851F42D4C957F2D))
     owner = np.repeat(np.arange(len(size)), size)
-    for step in (0, 1):
-        tile = band - step
-        held = (tile[owner] >= 0) if len(owner) else np.zeros(0, bool)
-        if not held.any():
-            continue
-        of, values = owner[held], spread[held]
-        count = parts[tile[of]].astype(np.uint64)
-        segment = ((grams[held] >> np.uint64(32)) * count) >> np.uint64(32)
-        begins = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (segment[1:] != segment[:-1])]))
-        total = np.add.reduceat(values, begins)
-        keys.append(mix(total + segment[begins] * np.uint64(0x2545F4914F6CDD1D) + tile[of[begins]].astype(np.uint64)))
-        owners.append(of[begins])
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+    order = np.lexsort((grams, rank, owner))
+    first = size - (percent * size + 99) // 100 + 1
+    taken = np.arange(len(grams)) - at[:-1][owner] < first[owner]
+    return order[taken], owner[taken]
 
 
 def met_within(keys: np.ndarray, nodes: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,29 +134,107 @@ def with_nodes(docs: DataFrame, width: int, text: str = "text", keep: list[str]
     return append_columns(docs, text, make, own, keep)
 
 
-def shared_keys(docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
-    """Pairs of nodes that have a key in common: the smallest node of the key with each other one."""
-    source = docs.select(F.col(text).alias("_text"))
-    buckets = bucket_count(source, "_text")
+def write_sets(docs: DataFrame, width: int, text: str) -> DataFrame:
+    """The different sets, in files of the shared folder, a batch for each few megabytes of text; returns a row per batch.
+
+    Only files that a finished task has named are read.
+    """
+    spark = docs.sparkSession
+    folder = fresh_path(spark, "sets")
+    source = with_nodes(docs.select(F.col(text).alias("_text")), width, "_text", ["_text"]).where("node IS NOT NULL")
+    sets = source.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("_text").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = file_system(folder)
+        name, out, part = attempt_name("sets", "arrow"), None, 0
+        for batch in batches:
+            for piece in slices(batch, "_text"):
+                if out is None:
+                    system.create_dir(root, recursive=True)
+                    sink = system.open_output_stream(f"{root}/{name}", compression=None)
+                    out = pa.ipc.new_file(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                out.write_batch(piece)
+                yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([part], pa.int32())], names=["file", "part"])
+                part += 1
+        if out is not None:
+            out.close()
+            sink.close()
+
+    path = fresh_path(spark, "set-catalogue")
+    sets.mapInArrow(run, "file string, part int").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def read_part(file: str, part: int) -> pa.RecordBatch:
+    system, path = file_system(file)
+    with system.open_input_file(path) as source:
+        return pa.ipc.open_file(source).get_batch(part)
+
+
+def spread_parts(catalogue: DataFrame) -> DataFrame:
+    return catalogue.repartition(int(catalogue.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file", "part")
+
+
+def read_sets(catalogue: DataFrame) -> DataFrame:
+    """node, n_shingles and _text of all sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, part in zip(batch.column("file").to_pylist(), batch.column("part").to_pylist()):
+                yield read_part(file, part).select(["node", "n_shingles", "_text"])
+
+    return spread_parts(catalogue).mapInArrow(run, "node long, n_shingles long, _text string")
+
+
+def gram_ranks(catalogue: DataFrame, width: int, buckets: int) -> DataFrame:
+    """``file``, ``part``, ``bucket``, and the ranks of the n-grams of the part that fall into the bucket, in ascending order of the n-grams."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                grams, at = ngram_sets(part.column("_text"), width)
-                node = nodes_of(grams, at)
-                _, unique = np.unique(node, return_index=True)
-                fresh = np.zeros(len(node), bool)
-                fresh[unique] = True
-                keys, owners = segment_keys(grams, at, percent)
-                kept = fresh[owners]
-                # The salt is the same when the task is run again.
-                salt = (int(node.sum(dtype=np.uint64)) + (TaskContext.get().partitionId() << 40)) % (1 << 64)
-                keys, nodes = met_within(keys[kept], node[owners[kept]], salt)
-                order, present, begins = split(keys, buckets)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(present, pa.int32()), packed(keys[order], begins), packed(nodes[order], begins)],
-                    names=["bucket", "keys", "nodes"],
-                )
+            for file, part in zip(batch.column("file").to_pylist(), batch.column("part").to_pylist()):
+                grams = np.unique(ngram_sets(read_part(file, part).column("_text"), width)[0])
+                order, present, begins = split(grams, buckets)
+                columns = [pa.array([file] * len(present), pa.string()), pa.array([part] * len(present), pa.int32())]
+                cells = packed(grams[order].astype(np.uint32), begins)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(present, pa.int32()), cells], names=["file", "part", "bucket", "cells"])
+
+    def count(table: pa.Table) -> pa.Table:
+        sizes = pa.compute.binary_length(table.column("cells")).to_numpy() // 4
+        cells = unpacked(table.column("cells"), np.uint32)
+        _, number, counts = np.unique(cells, return_inverse=True, return_counts=True)
+        ranks = packed(rank_of(counts)[number], np.concatenate([[0], np.cumsum(sizes)]))
+        return table.select(["file", "part", "bucket"]).append_column("ranks", ranks)
+
+    sent = spread_parts(catalogue).mapInArrow(send, "file string, part int, bucket int, cells binary")
+    return sent.groupBy("bucket").applyInArrow(count, "file string, part int, bucket int, ranks binary")
+
+
+def shared_keys(catalogue: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """Pairs of nodes that have a key in common: the smallest node of the key with each other one."""
+    ranks = gram_ranks(catalogue, width, buckets).withColumn("place", F.concat_ws("/", "file", "part"))
+    tasks = int(catalogue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranks = ranks.repartition(tasks, "place").sortWithinPartitions("place", "bucket")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, "place"):
+            file, part = table.column("file")[0].as_py(), table.column("part")[0].as_py()
+            held = read_part(file, part)
+            node = held.column("node").to_numpy().astype(np.uint64)
+            grams, at = ngram_sets(held.column("_text"), width)
+            known, number, holders = np.unique(grams, return_inverse=True, return_counts=True)
+            rank = np.empty(len(known), np.uint8)
+            rank[split(known, buckets)[0]] = unpacked(table.column("ranks"), np.uint8)
+            chosen, owners = prefix_grams(grams, at, rank[number], percent)
+            shared = (rank > 1) | (holders > 1)
+            kept = shared[number[chosen]]
+            # The salt is the same when the task is run again.
+            salt = int.from_bytes(hashlib.blake2b(f"{file}/{part}".encode(), digest_size=8).digest())
+            keys, nodes = met_within(mix(grams[chosen[kept]]), node[owners[kept]], salt)
+            order, present, begins = split(keys, buckets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(present, pa.int32()), packed(keys[order], begins), packed(nodes[order], begins)],
+                names=["bucket", "keys", "nodes"],
+            )
 
     def meet(table: pa.Table) -> pa.Table:
         keys, nodes = unpacked(table.column("keys"), np.uint64), unpacked(table.column("nodes"), np.uint64)
@@ -178,7 +246,7 @@ def shared_keys(docs: DataFrame, width: int, percent: int, text: str) -> DataFra
         pairs = np.unique(np.stack([least[other], nodes[other]], 1), axis=0).astype(np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = source.mapInArrow(send, "bucket int, keys binary, nodes binary")
+    sent = ranks.select("place", "file", "part", "ranks").mapInArrow(send, "bucket int, keys binary, nodes binary")
     return sent.groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
@@ -329,9 +397,9 @@ def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80, key: st
     rows.write.parquet(path)
     rows = docs.sparkSession.read.parquet(path)
 
-    blocks = connected_components(shared_keys(source, width, percent, "_text"))
-    sets = with_nodes(source, width, "_text", ["_text"]).where("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("_text").alias("_text"))
-    roots = connected_components(compared(blocks, sets, width, percent, tile_sets, tile_grams))
+    catalogue = write_sets(source, width, "_text")
+    blocks = connected_components(shared_keys(catalogue, width, percent, bucket_count(source, "_text")))
+    roots = connected_components(compared(blocks, read_sets(catalogue), width, percent, tile_sets, tile_grams))
 
     first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("_key").alias("_first"))
     named = first.join(roots, "node", "left").select("node", "_first", F.coalesce("root", "node").alias("root"))

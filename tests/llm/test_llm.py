@@ -104,6 +104,29 @@ def test_hot_keys_meet_within_slices():
     assert not len(ngram_join.met_within(keys[:0], nodes[:0], 77)[0])
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_linked_sets_share_a_prefix_gram(percent):
+    r = np.random.default_rng(percent)
+    sets = []
+    for size in [1, 2, 5, 9, 40, 200]:
+        base = r.choice(1 << 20, size, replace=False)
+        for gone in range(size // 3 + 2):
+            sets.append(np.unique(np.append(base[gone:], r.choice(1 << 20, gone // 2))).astype(np.uint64))
+    at = np.cumsum([0, *map(len, sets)])
+    grams = np.concatenate(sets)
+    _, number, counts = np.unique(grams, return_inverse=True, return_counts=True)
+    chosen, owners = ngram_join.prefix_grams(grams, at, ngram_join.rank_of(counts)[number], percent)
+    keys = [set(grams[chosen[owners == k]].tolist()) for k in range(len(sets))]
+    linked = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                linked += 1
+                assert keys[a] & keys[b]
+    assert linked or percent == 100
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     out = {r["node"]: r["root"] for r in components.connected_components(links).collect()}
