@@ -300,7 +300,8 @@ def compared(
     blocks: DataFrame, sets: DataFrame, width: int, percent: int, tile_sets: int = TILE_SETS, tile_grams: int = TILE_GRAMS
 ) -> DataFrame:
     """Links between different sets of a block.  ``sets``: node, n_shingles, _text."""
-    members = sets.join(blocks, "node").select("node", "n_shingles", "_text", F.col("root").alias("block"))
+    # Spark takes the sets for as small as their catalogue, so the join is named.
+    members = sets.hint("merge").join(blocks, "node").select("node", "n_shingles", "_text", F.col("root").alias("block"))
     # The lower edge of every band, as in size_bands, found from the size by a bounded search.
     edges = F.array(*[F.lit(int(e)) for e in size_bands(percent, 1 << 40)])
     members = members.withColumn("band", F.size(F.filter(edges, lambda e: e <= F.col("n_shingles"))))
