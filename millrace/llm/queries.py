@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, lm_score, ngram_join, suffix_dedup, token_files, topk, toxicity, warc
+from . import bpe, decontaminate, html_extract, lm_score, ngram_join, packing, prefix_trie, suffix_dedup, token_files, topk, toxicity, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,61 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     found = html_extract.extract_text(pages, html_extract.train_extractor(pages), keep=["page_id", "url"])
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+SQL["op11_conversation_trie"] = """
+    WITH turns AS (
+        SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+        FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+        SELECT c, c - ((c % 100) + 100) % 100 AS base,
+               xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+                               lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)),
+                               4294967295), 4294967295) % 6 AS h
+        FROM (SELECT DISTINCT c FROM turns)),
+    said AS (
+        SELECT ids.c, 0 AS kind, k, role, text FROM ids JOIN turns ON turns.c = base AND k <= h
+        UNION ALL SELECT ids.c, 1, k, role, text FROM ids JOIN turns ON turns.c = ids.c AND k > h),
+    rebuilt AS (
+        SELECT c, row_number() OVER w AS d, text, list({'role': role, 'text': text}) OVER w AS path
+        FROM said WINDOW w AS (PARTITION BY c ORDER BY kind, k)),
+    members AS (
+        SELECT c, 0 AS d, '' AS text, [] AS path FROM ids UNION ALL SELECT c, d, text, path FROM rebuilt),
+    placed AS (SELECT c, d, text, min(c) OVER (PARTITION BY d, path) AS top, max(d) OVER (PARTITION BY c) AS size FROM members),
+    nodes AS (
+        SELECT top AS conv_id, d AS depth, count(*) AS n_convs, min(text) AS text,
+               sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = size), '')) AS ends_sha256
+        FROM placed GROUP BY ALL),
+    upward AS (SELECT n.*, p.top AS parent_conv_id FROM nodes n LEFT JOIN placed p ON p.c = n.conv_id AND p.d = n.depth - 1),
+    counted AS (
+        SELECT u.*, (SELECT count(*) FROM upward v WHERE v.parent_conv_id = u.conv_id AND v.depth = u.depth + 1) AS n_children FROM upward u),
+    sums AS (
+        SELECT p.top AS conv_id, p.d AS depth, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * length(n.text)) AS saved_tokens
+        FROM counted n JOIN placed p ON p.c = n.conv_id AND p.d <= n.depth GROUP BY ALL)
+    SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM counted JOIN sums USING (conv_id, depth)
+"""
+
+
+@register
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@register
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.encode_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0, keep=["label"])
+    return vector_codes.with_group_total(coded.codes, "label", "error", "label_error").select(
+        F.col("key").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256")
+    )
+
+
+@register
+def op13_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024, end=0)
+    return pieces.select(
+        F.col("doc_key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
