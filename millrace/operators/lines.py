@@ -1,73 +1,100 @@
 """Line-level cleansing: header and footer removal, numbering, width checks.
 
 A labelled frame has ``value`` and ``role``; the role is one of header,
-footer, blank and line.  Lines come from files (``label_file_lines``) or from a
-text column (``label_column_lines``); everything after that is shared.
+footer, blank and line.  Lines come from files (``store_lines``,
+``label_file_lines``) or from a text column (``label_column_lines``);
+everything after that is shared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens, trim_control
+from ..session import fresh_path
+from .numbering import running_sums
 
 HEADER, FOOTER, BLANK, LINE = "header", "footer", "blank", "line"
 
-# Most marks (two longs and a short text each) sent to every executor.
-MARK_BROADCAST_LIMIT = 1_000_000
+FILE, DATASET = "file", "dataset"
 
-# Most block offsets (a path and two longs each) sent to every executor.
-BLOCK_BROADCAST_LIMIT = 200_000
 
+def _stored(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
-def _blocks(lines: DataFrame) -> DataFrame:
-    """First and last line of each file block: one row per input split.
 
-    Only longs are aggregated, so this stays a hash aggregation that reduces
-    each task's lines to a few rows before the shuffle.
-    """
-    return lines.groupBy("file_path", "block_start").agg(
-        F.min("line_id").alias("first_id"), F.max("line_id").alias("last_id")
-    )
+def _check(scope: str) -> None:
+    if scope not in (FILE, DATASET):
+        raise ValueError(f"scope must be 'file' or 'dataset', not {scope!r}")
 
 
-def _edges(lines: DataFrame, scope: str) -> DataFrame:
-    """First and last line ids, per file or over all files in path order."""
-    blocks = _blocks(lines)
-    if scope == "file":
+def _edges(blocks: DataFrame, scope: str) -> DataFrame:
+    if scope == FILE:
         return blocks.groupBy("file_path").agg(
-            F.min_by("first_id", "block_start").alias("first_id"),
-            F.max_by("last_id", "block_start").alias("last_id"),
+            F.min_by("first_id", "block_start").alias("first_id"), F.max_by("last_id", "block_start").alias("last_id")
         )
-    if scope == "dataset":
-        place = F.struct("file_path", "block_start")
-        return blocks.agg(
-            F.min_by("first_id", place).alias("first_id"),
-            F.max_by("last_id", place).alias("last_id"),
-        ).where("first_id is not null")
-    raise ValueError(f"scope must be 'file' or 'dataset', not {scope!r}")
+    place = F.struct("file_path", "block_start")
+    ends = blocks.agg(F.min_by("first_id", place).alias("first_id"), F.max_by("last_id", place).alias("last_id"))
+    return ends.where("first_id is not null")
 
 
-def _marks_fit_broadcast(lines: DataFrame, scope: str) -> bool:
-    """There are at most two marks per file, so the file count bounds them."""
-    return scope == "dataset" or 2 * len(lines.inputFiles()) <= MARK_BROADCAST_LIMIT
+@dataclass(frozen=True)
+class LineStore:
+    """Lines of text files as one scan has found them, and the directory of their blocks.
+
+    ``lines`` has ``value``, ``file_path``, ``block_start`` and ``line_id``.
+    ``blocks`` has a row per input split with lines: its first and last id and
+    how many lines it has.  Positions and edges are looked up here, so they do
+    not depend on what a caller has filtered since, nor on a second scan that
+    might cut the files in another way.
+    """
+
+    folder: str
+    lines: DataFrame
+    blocks: DataFrame
+
+    def edges(self, scope: str) -> DataFrame:
+        """``first_id`` and ``last_id`` of every file, or of everything in path order."""
+        _check(scope)
+        return _edges(self.blocks, scope)
+
+    @cached_property
+    def starts(self) -> DataFrame:
+        """``lines_before``: the lines of all blocks in front of each one, in path order."""
+        sums = running_sums(self.blocks, "n_lines", ["file_path", "block_start"], name="lines_before")
+        return _stored(sums, f"{self.folder}/starts")
+
+
+def store_lines(lines: DataFrame, folder: str | None = None) -> LineStore:
+    """Keep the result of ``read_lines`` in the shared folder.
+
+    The text is scanned once; the directory comes from the stored keys.  This
+    runs jobs.
+    """
+    folder = folder or fresh_path(lines.sparkSession, "lines")
+    stored = _stored(lines, f"{folder}/lines")
+    blocks = stored.groupBy("file_path", "block_start").agg(
+        F.min("line_id").alias("first_id"), F.max("line_id").alias("last_id"), F.count(F.lit(1)).alias("n_lines")
+    )
+    return LineStore(folder, stored, _stored(blocks, f"{folder}/blocks"))
 
 
-def label_file_lines(
-    lines: DataFrame, *, scope: str = "file", header: bool = True, footer: bool = True
-) -> DataFrame:
-    """Give each line from ``read_lines`` its role.
+def label_file_lines(store: LineStore, *, scope: str = FILE, header: bool = True, footer: bool = True) -> DataFrame:
+    """Give each stored line its role.
 
     ``scope="file"`` finds a header and a footer in every file; ``"dataset"``
     only the first line of the first file and the last line of the last one.
     A line that is both counts as header.
 
-    The marks are joined by the unique ``line_id``, so beyond the broadcast
-    limit the shuffled join has no hot key.
+    The marks are joined by the unique ``line_id``: Spark broadcasts them if
+    they are few, and otherwise no key of the shuffle is hot.
     """
-    edges = _edges(lines, scope)
-    marks = edges.select(
+    marks = store.edges(scope).select(
         F.inline(
             F.array(
                 F.struct(F.col("first_id").alias("line_id"), F.lit(HEADER).alias("mark")),
@@ -78,11 +105,9 @@ def label_file_lines(
     )
     marks = marks.where((F.col("mark") == HEADER) | (F.col("line_id") != F.col("first_id")))
     wanted = [name for name, keep in ((HEADER, header), (FOOTER, footer)) if keep]
-    marks = marks.where(F.col("mark").isin(wanted)).select("line_id", "mark")
-    if _marks_fit_broadcast(lines, scope):
-        marks = F.broadcast(marks)
-    return lines.join(marks, "line_id", "left").select(
-        *lines.columns, F.coalesce("mark", _inner_role()).alias("role")
+    marks = _stored(marks.where(F.col("mark").isin(wanted)).select("line_id", "mark"), fresh_path(store.lines.sparkSession, "marks"))
+    return store.lines.join(marks, "line_id", "left").select(
+        *store.lines.columns, F.coalesce("mark", _inner_role()).alias("role")
     )
 
 
@@ -138,11 +163,10 @@ def bind(tokenised: DataFrame, names: list[str], keep: tuple[str, ...] = ()) ->
     return fitting.select(*keep, *[F.col("tok")[i].alias(name) for i, name in enumerate(names)])
 
 
-def line_audit(labelled: DataFrame, width: int, by: tuple[str, ...] = (), separator: str = ",") -> DataFrame:
-    """All row counts of the cleansing in one pass, overall or per ``by``."""
+def _line_counts(width: int, separator: str) -> list[Column]:
     is_line = F.col("role") == LINE
     fits = F.size(tokens(trim_control(F.col("value")), separator)) == width
-    counts = [
+    return [
         F.count(F.lit(1)).alias("raw_lines"),
         F.count_if(F.col("role") == HEADER).alias("header_lines"),
         F.count_if(F.col("role") == FOOTER).alias("footer_lines"),
@@ -151,23 +175,35 @@ def line_audit(labelled: DataFrame, width: int, by: tuple[str, ...] = (), separa
         F.count_if(is_line & fits).alias("accepted_lines"),
         F.count_if(is_line & ~fits).alias("rejected_lines"),
     ]
+
+
+def line_audit(labelled: DataFrame, width: int, by: tuple[str, ...] = (), separator: str = ",") -> DataFrame:
+    """All row counts of the cleansing in one pass, overall or per ``by``."""
+    counts = _line_counts(width, separator)
     return labelled.groupBy(*by).agg(*counts) if by else labelled.agg(*counts)
 
 
-def edge_file_lines(kept: DataFrame, *, scope: str = "file") -> DataFrame:
-    """The first and the last surviving line of files.
+def observed_audit(labelled: DataFrame, width: int, separator: str = ",") -> tuple[DataFrame, Observation]:
+    """The same lines, and the counts of ``line_audit`` that the job which writes them will find.
 
-    ``kept`` keeps the keys of ``read_lines``.  Only ids are aggregated; the
-    texts are looked up afterwards.
+    The counts are there once that job has ended; they need no scan of their own.
     """
-    edges = _edges(kept, scope)
-    ids = edges.select(
-        F.explode(F.array_distinct(F.array("first_id", "last_id"))).alias("line_id"),
-        "first_id",
-        "last_id",
+    audit = Observation()
+    return labelled.observe(audit, *_line_counts(width, separator)), audit
+
+
+def edge_file_lines(kept: DataFrame, *, scope: str = FILE) -> DataFrame:
+    """The first and the last surviving line of files, or of everything in path order.
+
+    ``kept`` keeps the keys of the store.  Only longs are aggregated; the
+    texts are looked up afterwards.  This runs a job.
+    """
+    _check(scope)
+    blocks = kept.groupBy("file_path", "block_start").agg(F.min("line_id").alias("first_id"), F.max("line_id").alias("last_id"))
+    ids = _edges(blocks, scope).select(
+        F.explode(F.array_distinct(F.array("first_id", "last_id"))).alias("line_id"), "first_id", "last_id"
     )
-    if _marks_fit_broadcast(kept, scope):
-        ids = F.broadcast(ids)
+    ids = _stored(ids, fresh_path(kept.sparkSession, "edges"))
     return kept.join(ids, "line_id").select(
         "file_path",
         "value",
@@ -195,25 +231,19 @@ def edge_column_lines(frame: DataFrame, text: str, separator: str = "\n") -> Dat
     )
 
 
-def number_lines(lines: DataFrame, *, scope: str = "dataset") -> DataFrame:
+def number_lines(store: LineStore, lines: DataFrame | None = None, *, scope: str = DATASET) -> DataFrame:
     """Add ``line_no``: 0-based position in the file, or over all files in path order.
 
-    ``lines`` is the unfiltered result of ``read_lines``.  Counts of whole
-    blocks are summed up in front of each block, so only one row per input
-    split takes part in the running sum.  Beyond the broadcast limit the join
-    back is shuffled; its keys are single input splits, so none is hot.
+    ``lines`` may be any part of the store's lines that keeps their keys; a
+    line has the same number in all of them.  The join is by input split, so
+    no key is hot.
     """
-    blocks = _blocks(lines).withColumn("_n", F.col("last_id") - F.col("first_id") + 1)
-    if scope == "file":
-        order = Window.partitionBy("file_path").orderBy("block_start")
-    elif scope == "dataset":
-        order = Window.orderBy("file_path", "block_start")
-    else:
-        raise ValueError(f"scope must be 'file' or 'dataset', not {scope!r}")
-    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = blocks.select("file_path", "block_start", (before - F.col("first_id")).alias("_shift"))
-    # No task reads more than one full split's worth of bytes, hence the bound.
-    if len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= BLOCK_BROADCAST_LIMIT:
-        starts = F.broadcast(starts)
-    numbered = lines.join(starts, ["file_path", "block_start"])
+    _check(scope)
+    lines = store.lines if lines is None else lines
+    starts = store.starts
+    if scope == FILE:
+        files = starts.groupBy("file_path").agg(F.min("lines_before").alias("_earlier"))
+        starts = starts.join(files, "file_path").withColumn("lines_before", F.col("lines_before") - F.col("_earlier"))
+    shifts = starts.select("file_path", "block_start", (F.col("lines_before") - F.col("first_id")).alias("_shift"))
+    numbered = lines.join(shifts, ["file_path", "block_start"])
     return numbered.select(*lines.columns, (F.col("line_id") + F.col("_shift")).alias("line_no"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from .numbering import number_rows
 
 
@@ -17,6 +20,52 @@ def union_distinct(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second).distinct()
 
 
+@dataclass(frozen=True)
+class DistinctRows:
+    """Each row once, and the counts of ``duplicate_audit``."""
+
+    rows: DataFrame
+    audit: DataFrame
+
+
+def distinct_by_digest(frame: DataFrame) -> DistinctRows:
+    """Set semantics for wide rows, most of which occur once.
+
+    A 64-bit digest of each row is counted, so 16 bytes of a row are shuffled.
+    Rows whose digest occurs once are distinct as they are and stay where they
+    lie.  Only the others travel whole and are compared in full, so a
+    digest that two different rows share costs a comparison and no row.
+    Counts and rows come from the same aggregation.
+
+    ``frame`` is read twice; it should be a table or files.  This runs jobs.
+    """
+    spark, folder = frame.sparkSession, fresh_path(frame.sparkSession, "distinct")
+    digest = F.xxhash64(*frame.columns)
+    counts = frame.groupBy(digest.alias("_digest")).agg(F.count(F.lit(1)).alias("_rows"))
+    seen = Observation("digests")
+    totals = [
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("_rows") == 1).alias("single"),
+    ]
+    counts.observe(seen, *totals).where("_rows > 1").select("_digest").write.parquet(f"{folder}/digests")
+    shared = spark.read.schema("_digest long").parquet(f"{folder}/digests")
+    rows = frame.withColumn("_own", digest)
+    again = rows.join(shared, F.col("_own") == F.col("_digest"), "left_semi").drop("_own")
+    compared = again.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    compared.write.parquet(f"{folder}/compared")
+    compared = spark.read.schema(compared.schema).parquet(f"{folder}/compared").select(*frame.columns)
+    single = rows.join(shared, F.col("_own") == F.col("_digest"), "left_anti").drop("_own")
+    # An aggregation over no rows reports nothing at all.
+    merged, alone = (seen.get.get(k, 0) for k in ("rows", "single"))
+    distinct = F.count(F.lit(1)) + F.lit(alone)
+    audit = compared.agg(
+        F.lit(merged).cast("long").alias("merged_rows"),
+        distinct.cast("long").alias("distinct_rows"),
+        (F.lit(merged) - distinct).cast("long").alias("duplicate_rows"),
+    )
+    return DistinctRows(single.unionByName(compared), audit)
+
+
 def duplicate_audit(frame: DataFrame) -> DataFrame:
     """Rows, distinct rows and surplus copies, from one aggregation."""
     copies = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_copies"))
@@ -57,7 +106,6 @@ def group_report(
     measure: Column,
     mean_name: str,
     count_name: str = "count",
-    spread: bool = False,
 ) -> DataFrame:
     """Mean and count per group, numbered by falling count inside ``within``.
 
@@ -65,9 +113,8 @@ def group_report(
     is summed in the order in which tasks finish, which can show in its last digits.  Equal counts are
     ordered by the remaining group columns.
 
-    The numbering takes one task per ``within`` value, which suits groups over
-    fixed vocabularies.  With ``spread`` it takes any number of tasks, for
-    groups whose number grows with the data.
+    The groups are numbered in any number of tasks, however many of them one
+    ``within`` value has; see ``number_rows``.
     """
     weighted = joined.select(*by, "n_rows", "n_counted", measure.alias("_measure"))
     present = F.when(F.col("_measure").isNotNull(), F.col("n_rows"))
@@ -80,7 +127,4 @@ def group_report(
         (F.col("_total").cast("double") / F.col("_present")).alias(mean_name), count_name, *by
     )
     order = [F.desc(count_name), *[F.col(name) for name in by if name != within]]
-    if spread:
-        return number_rows(means, [within], order)
-    seqno = F.row_number().over(Window.partitionBy(within).orderBy(*order))
-    return means.select(seqno.cast("long").alias("seqno"), *means.columns)
+    return number_rows(means, [within], order)

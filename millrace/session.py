@@ -30,15 +30,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used before."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def pin_scan_layout(spark: SparkSession) -> None:
-    """Keep the way files are cut into tasks the same for the whole session.
-
-    Unless ``spark.sql.files.minPartitionNum`` is set, Spark derives the cut of
-    small inputs from the number of cores, which changes as executors come and
-    go.  Two scans that must number lines alike need it fixed.
-    """
-    name = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(name, None) in (None, "", "<undefined>"):
-        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))

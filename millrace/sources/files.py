@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import YEAR_FIRST
-from ..session import pin_scan_layout
 from .layouts import CORRUPT, MIXED, with_corrupt
 
 # Smallest 64-bit integer: no hash value lies below it.
@@ -20,8 +19,8 @@ def read_lines(spark: SparkSession, paths: str | list[str], separator: str | Non
     """Text lines with the keys that place them in their file.
 
     ``line_id`` grows with the position inside one (file_path, block_start).
+    It may differ from one reading to the next; ``store_lines`` settles it.
     """
-    pin_scan_layout(spark)
     options = {"lineSep": separator} if separator else {}
     return spark.read.options(**options).text(paths).select(
         "value",

@@ -14,9 +14,10 @@ from ..operators.lines import (
     line_audit,
     number_lines,
     split_column_lines,
+    store_lines,
     tokenise,
 )
-from ..plans.cleansing import cleanse_files, merge
+from ..plans.cleansing import cleanse_to_files, merge
 from ..plans.staging import (
     clean_network_names,
     enrich,
@@ -215,33 +216,34 @@ def policy_report(spark, sf_dir):
 # --- text drops: one line per policy, a header and a footer per file ---------
 
 
-def _framed(lines, header, footer):
-    """Put a header and a footer line around the lines of every task.
+def _text_files(rows, place, header, label):
+    """Text files of ``rows`` (file, place, value): lines in the order of ``place`` between a header and a footer.
 
-    Each task writes one file, so each file gets both.
+    Each value of ``file`` is a folder with one file.
     """
+    path = fresh_path(rows.sparkSession, label)
+    ends = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    frame = F.array(
+        F.struct(F.lit(0).alias("kind"), F.lit(header).alias("value")),
+        F.struct(F.lit(2).alias("kind"), F.concat(F.lit("footer,"), F.col("n").cast("string")).alias("value")),
+    )
+    body = rows.select("file", F.lit(1).alias("kind"), *place, "value")
+    everything = body.unionByName(ends.select("file", F.inline(frame)), allowMissingColumns=True)
+    in_order = everything.repartition(F.col("file")).sortWithinPartitions("file", "kind", *place)
+    in_order.select("file", "value").write.partitionBy("file").text(path, lineSep="\n")
+    return path
 
-    def frame(batches):
-        import pyarrow as pa
-
-        def values(column):
-            return pa.RecordBatch.from_arrays([column], names=["value"])
-
-        count = 0
-        yield values(pa.array([header]))
-        for batch in batches:
-            count += batch.num_rows
-            yield values(batch.column(0))
-        yield values(pa.array([f"{footer},{count}"]))
 
-    return lines.select("value").mapInArrow(frame, "value string")
+def _file_name(number):
+    return F.lpad(F.floor(number).cast("string"), 9, "0")
 
 
-def _drop_file(spark, rows, label):
-    path = fresh_path(spark, label)
-    lines = rows.select(F.concat_ws(",", *[F.coalesce(name, F.lit("")) for name in rows.columns]).alias("value"))
-    _framed(lines, ",".join(rows.columns), "footer").write.text(path)
-    return path
+def _drop_file(rows, label):
+    """Policies, 5,000 order keys to a file."""
+    number = F.col("IssuerId").cast("long")
+    line = F.concat_ws(",", *[F.coalesce(name, F.lit("")) for name in rows.columns])
+    lines = rows.select(_file_name(number / 5000).alias("file"), number.alias("place"), line.alias("value"))
+    return _text_files(lines, ["place"], ",".join(rows.columns), label)
 
 
 _DROPS = (
@@ -260,14 +262,11 @@ _DROPS = (
 
 
 def _cleansed_drops(spark, sf_dir):
-    """Two drops; the second repeats the secured policies of the first."""
+    """Two drops of several files; the second repeats the secured policies of the first."""
     rows = _policy_rows(spark, sf_dir)
     secured = F.col("NetworkURL").startswith("https")
     again = rows.withColumn("SourceName", F.when(secured, F.col("SourceName")).otherwise("other"))
-    return [
-        cleanse_files(spark, _drop_file(spark, drop, "drop"))
-        for drop in (rows, again.select(*POLICY_FIELDS))
-    ]
+    return [cleanse_to_files(spark, _drop_file(drop, "drop")) for drop in (rows, again.select(*POLICY_FIELDS))]
 
 
 @query(_DROPS + "SELECT * FROM first_drop UNION SELECT * FROM second_drop")
@@ -290,53 +289,111 @@ def merged_drops_audit(spark, sf_dir):
     return merge(first.records, second.records).audit
 
 
-# --- ragged text: all lines of all documents, a header and a footer per file --
-
-_DOCUMENT_LINES = """
-    WITH lines AS (SELECT trim(line) AS line, string_split(trim(line), ',') AS tok
-                   FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE line <> '')
+# --- ragged text: the lines of a hundred documents make a file ----------------
+
+# Places of the two lines that follow a document.
+_EMPTY_AT, _BLANKS_AT = 1_000_000_000, 1_000_000_001
+
+_DOCUMENT_FILES = f"""
+    WITH raw AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
+    body AS (
+        SELECT doc_id, pos, CASE WHEN (doc_id + pos) % 5 = 0 THEN chr(9) || line || ' ' || chr(9) ELSE line END AS value FROM raw
+        UNION ALL SELECT doc_id, {_EMPTY_AT}, '' FROM documents
+        UNION ALL SELECT doc_id, {_BLANKS_AT}, ' ' || chr(9) FROM documents WHERE doc_id % 3 = 0),
+    placed AS (
+        SELECT *, lpad(CAST(doc_id // 100 AS VARCHAR), 9, '0') AS file,
+               row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id, pos) AS line_no FROM body),
+    ends AS (SELECT file, MAX(line_no) AS n FROM placed GROUP BY file),
+    text_lines AS (
+        SELECT file, line_no, value FROM placed
+        UNION ALL SELECT file, 0, 'header' FROM ends UNION ALL SELECT file, n + 1, 'footer,' || CAST(n AS VARCHAR) FROM ends),
+    kept AS (
+        SELECT file, line_no, regexp_replace(value, '^[\\x01-\\x20]+|[\\x01-\\x20]+$', '', 'g') AS line FROM placed WHERE value <> ''),
+    lines AS (SELECT *, string_split(line, ',') AS tok FROM kept)
 """
 
 
-def _document_files(spark, sf_dir):
-    path = fresh_path(spark, "document-lines")
-    lines = split_column_lines(table(spark, sf_dir, "documents").select("text"), "text")
-    _framed(lines, "header", "footer").write.text(path)
-    return label_file_lines(read_lines(spark, path, "\n"))
+def _document_lines(spark, sf_dir):
+    """The stored lines of files with blank lines, and with tabs and spaces at the edges of others."""
+    documents = table(spark, sf_dir, "documents")
+    inner = split_column_lines(documents.select("doc_id", "text"), "text")
+    padded = F.concat(F.lit("\t"), F.col("value"), F.lit(" \t"))
+    value = F.when((F.col("doc_id") + F.col("pos")) % 5 == 0, padded).otherwise(F.col("value"))
+    after = [
+        documents.select("doc_id", F.lit(_EMPTY_AT).alias("pos"), F.lit("").alias("value")),
+        documents.where("doc_id % 3 = 0").select("doc_id", F.lit(_BLANKS_AT).alias("pos"), F.lit(" \t").alias("value")),
+    ]
+    rows = inner.select("doc_id", "pos", value.alias("value")).unionByName(after[0]).unionByName(after[1])
+    path = _text_files(rows.withColumn("file", _file_name(F.col("doc_id") / 100)), ["doc_id", "pos"], "header", "document-lines")
+    return store_lines(read_lines(spark, path, "\n"))
+
+
+def _folder():
+    return F.regexp_extract("file_path", "file=([0-9]+)/", 1).alias("file")
 
 
-@query(_DOCUMENT_LINES + "SELECT line, CAST(len(tok) AS BIGINT) AS width, tok[1] AS first_token FROM lines")
+@query(_DOCUMENT_FILES + "SELECT line, CAST(len(tok) AS BIGINT) AS width, tok[1] AS first_token FROM lines")
 def file_lines(spark, sf_dir):
     """Lines of many text files without the header and footer of each."""
-    tokenised = tokenise(kept_lines(_document_files(spark, sf_dir)))
+    tokenised = tokenise(kept_lines(label_file_lines(_document_lines(spark, sf_dir))))
     return tokenised.select(
         F.col("value").alias("line"), F.col("width").cast("long").alias("width"), F.col("tok")[0].alias("first_token")
     )
 
 
-@query(
-    _DOCUMENT_LINES
-    + """
-    SELECT COUNT(*) AS kept_lines, COUNT(*) FILTER (len(tok) = 3) AS accepted_lines,
-           COUNT(*) FILTER (len(tok) <> 3) AS rejected_lines, true AS files_balanced
-    FROM lines
-    """
-)
+_COUNTS = """
+    SELECT (SELECT COUNT(*) FROM text_lines) AS raw_lines, {edges} AS header_lines, {edges} AS footer_lines,
+           (SELECT COUNT(*) FROM placed WHERE value = '') AS blank_lines, COUNT(*) AS kept_lines,
+           COUNT(*) FILTER (len(string_split(line, ',')) = 3) AS accepted_lines,
+           COUNT(*) FILTER (len(string_split(line, ',')) <> 3) AS rejected_lines
+"""
+
+
+@query(_DOCUMENT_FILES + _COUNTS.format(edges="(SELECT COUNT(*) FROM ends)") + "FROM lines")
 def file_lines_audit(spark, sf_dir):
     """Audit of the same files; every file has one header and one footer."""
-    audit = line_audit(_document_files(spark, sf_dir), 3)
-    return audit.select(
-        "kept_lines",
-        "accepted_lines",
-        "rejected_lines",
-        (F.col("header_lines") == F.col("footer_lines")).alias("files_balanced"),
-    )
+    return line_audit(label_file_lines(_document_lines(spark, sf_dir)), 3)
 
 
-@query()
+_ALL_BUT_TWO = """
+    (SELECT line FROM kept
+     UNION ALL SELECT value FROM text_lines WHERE line_no = 0 AND file > (SELECT MIN(file) FROM ends)
+     UNION ALL SELECT value FROM text_lines WHERE value LIKE 'footer,%' AND (file, line_no) IN (SELECT (file, n + 1) FROM ends)
+               AND file < (SELECT MAX(file) FROM ends))
+"""
+
+
+@query(_DOCUMENT_FILES + _COUNTS.format(edges="LEAST(1, (SELECT COUNT(*) FROM ends))") + "FROM" + _ALL_BUT_TWO)
+def dataset_lines_audit(spark, sf_dir):
+    """The literal first and last line of everything: inner headers and footers stay."""
+    return line_audit(label_file_lines(_document_lines(spark, sf_dir), scope="dataset"), 3)
+
+
+@query(
+    _DOCUMENT_FILES
+    + """
+    SELECT file, line, line_no = MIN(line_no) OVER (PARTITION BY file) AS is_first, line_no = MAX(line_no) OVER (PARTITION BY file) AS is_last
+    FROM kept QUALIFY is_first OR is_last
+    """
+)
 def file_edges(spark, sf_dir):
     """First and last surviving line of every file."""
-    return edge_file_lines(kept_lines(_document_files(spark, sf_dir)))
+    edges = edge_file_lines(kept_lines(label_file_lines(_document_lines(spark, sf_dir))))
+    return edges.select(_folder(), F.col("value").alias("line"), "is_first", "is_last")
+
+
+@query(
+    _DOCUMENT_FILES
+    + """
+    SELECT file, line, place = MIN(place) OVER () AS is_first, place = MAX(place) OVER () AS is_last
+    FROM (SELECT *, {'file': file, 'line_no': line_no} AS place FROM kept) QUALIFY is_first OR is_last
+    """
+)
+def dataset_edges(spark, sf_dir):
+    """First and last surviving line of all files in path order."""
+    edges = edge_file_lines(kept_lines(label_file_lines(_document_lines(spark, sf_dir))), scope="dataset")
+    return edges.select(_folder(), F.col("value").alias("line"), "is_first", "is_last")
 
 
 @query(
@@ -349,7 +406,15 @@ def numbered_lines(spark, sf_dir):
     path = fresh_path(spark, "sorted-lines")
     orders = table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey")
     orders.select(F.col("o_orderkey").cast("string").alias("value")).write.text(path)
-    return number_lines(read_lines(spark, path)).select(F.col("value").alias("line"), "line_no")
+    return number_lines(store_lines(read_lines(spark, path))).select(F.col("value").alias("line"), "line_no")
+
+
+@query(_DOCUMENT_FILES + "SELECT file, line_no, line FROM kept")
+def numbered_file_lines(spark, sf_dir):
+    """Surviving lines with their position in the file as it was."""
+    store = _document_lines(spark, sf_dir)
+    numbered = number_lines(store, kept_lines(label_file_lines(store)), scope="file")
+    return numbered.select(_folder(), "line_no", F.col("value").alias("line"))
 
 
 # --- round trips -------------------------------------------------------------

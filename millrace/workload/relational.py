@@ -82,10 +82,7 @@ def segment_rank_in_sql(spark, sf_dir):
     """
 )
 def customer_rank_report(spark, sf_dir):
-    """Every customer numbered by order count inside each priority.
-
-    The groups grow with the data, so the numbering is spread.
-    """
+    """Every customer numbered by order count inside each priority."""
     orders = precount(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "o_orderpriority")
     report = group_report(
         orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")),
@@ -94,7 +91,6 @@ def customer_rank_report(spark, sf_dir):
         measure=F.col("c_acctbal"),
         mean_name="avg_acctbal",
         count_name="n_orders",
-        spread=True,
     )
     return report.withColumn("avg_acctbal", F.round("avg_acctbal", 9))
 

@@ -7,7 +7,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from millrace.operators import lines as L
-from millrace.plans.cleansing import cleanse_files, merge
+from millrace.plans.cleansing import cleanse_files, cleanse_to_files, merge
 from millrace.sources.files import file_census, read_lines
 from millrace.sources.layouts import POLICY_FIELDS
 
@@ -25,10 +25,8 @@ def block_size(request, spark):
 
 
 @pytest.fixture(params=[True, False], ids=["broadcast", "shuffled"])
-def marks_joined(request, monkeypatch, spark):
+def marks_joined(request, spark):
     if not request.param:
-        monkeypatch.setattr(L, "MARK_BROADCAST_LIMIT", -1)
-        monkeypatch.setattr(L, "BLOCK_BROADCAST_LIMIT", -1)
         old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         yield
@@ -37,6 +35,10 @@ def marks_joined(request, monkeypatch, spark):
         yield
 
 
+def stored(spark, path):
+    return L.store_lines(read_lines(spark, path))
+
+
 def write(folder, files):
     folder.mkdir(parents=True, exist_ok=True)
     for name, content in files.items():
@@ -70,10 +72,10 @@ def ragged(seed):
 
 
 @pytest.mark.parametrize("scope", ["file", "dataset"])
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_kept_lines_like_plain_python(spark, tmp_path, block_size, marks_joined, scope, seed):
     files = ragged(seed)
-    labelled = L.label_file_lines(read_lines(spark, write(tmp_path / "in", files)), scope=scope)
+    labelled = L.label_file_lines(stored(spark, write(tmp_path / "in", files)), scope=scope)
     kept = sorted(row.value for row in L.kept_lines(labelled).select("value").collect())
     assert kept == expected_kept(files, scope)
     assert labelled.count() == sum(map(len, files.values()))
@@ -82,21 +84,21 @@ def test_kept_lines_like_plain_python(spark, tmp_path, block_size, marks_joined,
 @pytest.mark.parametrize("header, footer", [(True, False), (False, True), (False, False)])
 def test_header_and_footer_are_optional(spark, tmp_path, header, footer):
     files = {"a.txt": ["h", "1", "f"], "b.txt": ["h", "", "2", "f"]}
-    labelled = L.label_file_lines(read_lines(spark, write(tmp_path / "in", files)), header=header, footer=footer)
+    labelled = L.label_file_lines(stored(spark, write(tmp_path / "in", files)), header=header, footer=footer)
     kept = sorted(row.value for row in L.kept_lines(labelled).select("value").collect())
     assert kept == expected_kept(files, "file", header, footer)
 
 
 def test_roles_of_a_single_line_file(spark, tmp_path):
     path = write(tmp_path / "in", {"a.txt": ["only"], "b.txt": []})
-    roles = [r.role for r in L.label_file_lines(read_lines(spark, path)).collect()]
+    roles = [r.role for r in L.label_file_lines(stored(spark, path)).collect()]
     assert roles == [L.HEADER]
 
 
 @pytest.mark.parametrize("scope", ["file", "dataset"])
 def test_numbering(spark, tmp_path, block_size, marks_joined, scope):
     files = {f"p{i}.txt": [f"{i}-{j}" for j in range(n)] for i, n in enumerate([50, 0, 1, 120, 7])}
-    numbered = L.number_lines(read_lines(spark, write(tmp_path / "in", files)), scope=scope)
+    numbered = L.number_lines(stored(spark, write(tmp_path / "in", files)), scope=scope)
     got = {row.value: row.line_no for row in numbered.collect()}
     if scope == "file":
         expected = {line: i for content in files.values() for i, line in enumerate(content)}
@@ -108,7 +110,7 @@ def test_numbering(spark, tmp_path, block_size, marks_joined, scope):
 
 def test_first_and_last_survivor(spark, tmp_path, block_size, marks_joined):
     files = {"a.txt": ["h", "", " one ", "two", "three", "", "f"], "b.txt": ["h", "solo", "f"], "c.txt": ["h", "f"]}
-    kept = L.kept_lines(L.label_file_lines(read_lines(spark, write(tmp_path / "in", files))))
+    kept = L.kept_lines(L.label_file_lines(stored(spark, write(tmp_path / "in", files))))
     rows = L.edge_file_lines(kept).collect()
     got = sorted((r.file_path[-5:], r.value, r.is_first, r.is_last) for r in rows)
     assert got == [
@@ -119,11 +121,49 @@ def test_first_and_last_survivor(spark, tmp_path, block_size, marks_joined):
 
 
 def test_unknown_scope(spark, tmp_path):
-    lines = read_lines(spark, write(tmp_path / "in", {"a.txt": ["x"]}))
+    lines = stored(spark, write(tmp_path / "in", {"a.txt": ["x"]}))
     with pytest.raises(ValueError):
         L.label_file_lines(lines, scope="folder")
     with pytest.raises(ValueError):
         L.number_lines(lines, scope="folder")
+    with pytest.raises(ValueError):
+        L.edge_file_lines(lines.lines, scope="folder")
+
+
+@pytest.mark.parametrize("scope", ["file", "dataset"])
+def test_numbers_of_filtered_lines(spark, tmp_path, block_size, scope):
+    """A line keeps its number whatever else has been filtered away."""
+    files = {f"p{i}.txt": [f"{i}-{j}" for j in range(n)] for i, n in enumerate([30, 0, 1, 77])}
+    store = stored(spark, write(tmp_path / "in", files))
+    whole = {r.value: r.line_no for r in L.number_lines(store, scope=scope).collect()}
+    some = L.number_lines(store, store.lines.where("value like '%5'"), scope=scope).collect()
+    assert len(some) == 3 + 7 + 1
+    assert all(whole[r.value] == r.line_no for r in some)
+
+
+def test_first_and_last_of_everything(spark, tmp_path, block_size):
+    files = {"a.txt": ["h", "f"], "b.txt": ["h", " one ", "two", "f"], "c.txt": ["h", "three", "f"], "d.txt": []}
+    kept = L.kept_lines(L.label_file_lines(stored(spark, write(tmp_path / "in", files))))
+    rows = L.edge_file_lines(kept, scope="dataset").collect()
+    assert sorted((r.value, r.is_first, r.is_last) for r in rows) == [("one", True, False), ("three", False, True)]
+    assert L.edge_file_lines(kept.where("value = 'none'"), scope="dataset").collect() == []
+
+
+def test_lines_of_no_file(spark, tmp_path):
+    store = stored(spark, write(tmp_path / "in", {"a.txt": [], "b.txt": []}))
+    for scope in ("file", "dataset"):
+        assert L.label_file_lines(store, scope=scope).collect() == []
+        assert L.number_lines(store, scope=scope).collect() == []
+
+
+def test_text_is_scanned_once(spark, tmp_path):
+    """After the store is written, no plan reads text."""
+    store = stored(spark, write(tmp_path / "in", {"a.txt": ["h", "1", "f"]}))
+    kept = L.kept_lines(L.label_file_lines(store))
+    for frame in (kept, L.number_lines(store, kept), L.edge_file_lines(kept), L.line_audit(L.label_file_lines(store), 1)):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in text
+        assert "FileScan parquet" in text
 
 
 ROW = "1,2,2019-10-01,TN,src,net,http://x,c1,Individual,No"
@@ -175,6 +215,23 @@ def test_cleanse_and_merge(spark, tmp_path):
     assert day.count() == 3
 
 
+@pytest.mark.parametrize("options", [{}, {"scope": "dataset"}, {"header": False, "footer": False}])
+def test_one_job_gives_the_same_results(spark, tmp_path, options):
+    folder = tmp_path / "in"
+    write(folder, FIRST)
+    lazily = cleanse_files(spark, f"{folder}/insuranceinfo1*", **options)
+    at_once = cleanse_to_files(spark, f"{folder}/insuranceinfo1*", **options)
+    for name in ("records", "rejects", "audit"):
+        assert getattr(at_once, name).dtypes == getattr(lazily, name).dtypes
+        assert sorted(getattr(at_once, name).collect()) == sorted(getattr(lazily, name).collect())
+
+
+def test_one_job_over_empty_files(spark, tmp_path):
+    done = cleanse_to_files(spark, write(tmp_path / "in", {"a.txt": []}))
+    assert done.records.collect() == done.rejects.collect() == []
+    assert set(done.audit.first()) == {0}
+
+
 def test_held_lines_give_the_same_results(spark, tmp_path):
     folder = tmp_path / "in"
     write(folder, FIRST)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators.numbering import number_rows
+from millrace.operators.numbering import number_rows, running_sums
 
 
 @pytest.mark.parametrize("rows", [0, 1, 5000])
@@ -34,3 +34,25 @@ def test_two_group_columns(spark):
         F.row_number().over(Window.partitionBy("a", "b").orderBy(F.desc("id"))).alias("place"), "*"
     )
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+@pytest.mark.parametrize("within", [[], ["g"]])
+def test_running_sums_like_a_window(spark, within):
+    """Groups over several ranges, one of them NULL, NaN and negative zero among the keys, NULL amounts."""
+    frame = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, float("nan")).when(F.col("id") % 7 == 1, None).otherwise((F.col("id") % 3 - 1) * -0.0).alias("g"),
+        F.when(F.col("id") % 10 != 3, F.col("id") % 13 - 4).alias("v"),
+        "id",
+    )
+    window = Window.partitionBy(*within).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    expected = {r.id: r.s for r in frame.select("id", F.coalesce(F.sum("v").over(window), F.lit(0)).alias("s")).collect()}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep all range partitions
+    try:
+        got = running_sums(frame, "v", ["id"], within)
+        assert got.columns == ["g", "v", "id", "before"]
+        assert {r.id: r.before for r in got.collect()} == expected
+        assert running_sums(frame.limit(0), "v", ["id"], within).collect() == []
+        assert number_rows(frame, [], [F.desc("id")]).where("seqno <> 4000 - id").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

@@ -1,10 +1,12 @@
 """Physical plans have the shape that large inputs need."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from millrace import session
-from millrace.operators.lines import label_file_lines
+from millrace.operators.lines import label_file_lines, store_lines
+from millrace.operators.tables import precount
 from millrace.sources.files import read_lines
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,10 +27,10 @@ def test_no_cross_join(spark, name):
     assert "BroadcastNestedLoopJoin" not in text
 
 
-def test_flagship_counts_before_it_joins(spark):
-    text = query_plan(spark, "segment_rank_report")
-    first_join = text.rindex("Join")
-    assert "partial_count" in text[first_join:]
+def test_facts_are_counted_before_they_are_joined(spark):
+    orders = precount(spark.read.parquet(f"{SF_DIR}/orders.parquet"), ["o_custkey", "o_orderpriority"], "o_orderpriority")
+    text = plan(orders.join(spark.read.parquet(f"{SF_DIR}/customer.parquet"), F.col("o_custkey") == F.col("c_custkey")))
+    assert "partial_count" in text[text.rindex("Join") :]
     assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in text
 
 
@@ -55,14 +57,20 @@ def test_row_wise_jobs_do_not_shuffle(spark, name):
     assert "Exchange" not in query_plan(spark, name)
 
 
-def test_header_marks_are_broadcast_and_hash_aggregated(spark, tmp_path):
+def test_header_marks_are_broadcast(spark, tmp_path):
     (tmp_path / "a.txt").write_text("h\n1\nf\n")
-    text = plan(label_file_lines(read_lines(spark, str(tmp_path))))
+    text = plan(label_file_lines(store_lines(read_lines(spark, str(tmp_path)))))
     assert "BroadcastHashJoin" in text
-    assert "SortAggregate" not in text
     assert "SortMergeJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["numbered_lines", "numbered_file_lines", "segment_rank_report", "policy_report", "customer_rank_report"])
+def test_numbering_needs_no_single_task(spark, name):
+    text = query_plan(spark, name)
+    assert "SinglePartition" not in text
+    assert "Window" not in text
+
+
 def test_plans_survive_without_broadcast(spark):
     """Sides too large to broadcast give the same rows."""
     from compare import spark_rows
@@ -78,21 +86,6 @@ def test_plans_survive_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_reading_lines_fixes_the_scan_layout(spark, tmp_path):
-    name = "spark.sql.files.minPartitionNum"
-    (tmp_path / "a.txt").write_text("x\n")
-    old = spark.conf.get(name, None)
-    spark.conf.unset(name)
-    try:
-        read_lines(spark, str(tmp_path))
-        assert spark.conf.get(name) == str(spark.sparkContext.defaultParallelism)
-        spark.conf.set(name, "3")
-        read_lines(spark, str(tmp_path))
-        assert spark.conf.get(name) == "3"
-    finally:
-        spark.conf.set(name, old or str(spark.sparkContext.defaultParallelism))
-
-
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = session.shared_folder(spark)
