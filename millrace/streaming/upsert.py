@@ -1,26 +1,40 @@
-"""Keyed upsert on plain files.
-
-Batches go to a log with one folder per batch id; the current state is the
-newest row of each key.  Writing a batch again replaces its own folder, so
-replaying it changes nothing.
+"""Keyed upsert on plain files, with a state of bounded size.
+
+The state of all batches so far is a base, one row per key in buckets by the
+hash of the key, and a few tails with the newest rows of the batches since.  A
+batch adds a tail; when there are too many they become one, and when they
+weigh enough against the base the batch folds them into a new one.  So a
+row is written a bounded number of times for each doubling of the state, and a
+reader sees one base and a few tails, whatever the number of batches.
+
+Base and tails lie in folders that nobody has used before, and count only once
+the batch has entered them in its ledger.  A batch that is run again after its
+entry changes nothing, and one that failed before it has left nothing behind.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.bucketed import read_bucketed, write_bucketed
 from ..sinks.writers import SEARCH_INDEX, upsert_search_index
+from .ledger import BatchLedger, batch_counts, orderable
 
 BATCH = "batch_id"
 
-# Batch id of compacted rows: older than every streamed batch.
-COMPACTED = -1
+# Tails that a reader meets at most.
+MOST_TAILS = 8
+
+# Tails are folded when they have this share of the rows of the base.
+FOLD_SHARE = 0.5
 
 
 def latest_per_key(frame: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -28,65 +42,140 @@ def latest_per_key(frame: DataFrame, key: str, order: list[str]) -> DataFrame:
 
     Each task reduces its rows to one per key before the shuffle, so a key with
     very many rows costs no more than any other.  Rows that are equal in
-    ``order`` are compared by their remaining columns, so that a task that runs
-    again chooses the same one.
+    ``order`` are compared by their remaining columns (maps by their text), so
+    that a task that runs again chooses the same one.
     """
     rest = [name for name in frame.columns if name not in (key, *order)]
-    newest = frame.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_row"))
+    place = F.struct(*[F.col(c) for c in order], *orderable(frame, rest))
+    newest = frame.groupBy(key).agg(F.max_by(F.struct(*order, *rest), place).alias("_row"))
     return newest.select(key, "_row.*").select(*frame.columns)
 
 
 @dataclass(frozen=True)
-class KeyedLog:
+class Content:
+    """Folders of a state and how many rows they have."""
+
+    base: str | None = None
+    base_rows: int = 0
+    tails: tuple[str, ...] = ()
+    tail_rows: int = 0
+
+    @classmethod
+    def of(cls, text: str) -> Content:
+        fields = json.loads(text)
+        return cls(**{**fields, "tails": tuple(fields["tails"])})
+
+    def text(self) -> str:
+        return json.dumps(self.__dict__)
+
+
+@dataclass(frozen=True)
+class KeyedState:
     """Upserts of rows of one schema, keyed by ``key``.
 
     ``order`` places rows of one key.  With ``arrival`` a later batch wins over
-    an earlier one, whatever its order columns say.
+    an earlier one, whatever its order columns say.  ``position`` names a
+    column whose range goes to the ledger, such as the offset.
     """
 
     path: str
     key: str
     order: tuple[str, ...]
     arrival: bool = True
+    buckets: int = 32
+    position: str | None = None
+
+    @property
+    def ledger(self) -> BatchLedger:
+        return BatchLedger(f"{self.path}/ledger")
+
+    @property
+    def _order(self) -> list[str]:
+        return [BATCH, *self.order] if self.arrival else [*self.order]
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Suits ``foreachBatch``."""
-        newest = latest_per_key(rows, self.key, list(self.order))
-        self._write(newest, batch_id, self.path)
-
-    def _write(self, rows: DataFrame, batch_id: int, path: str) -> None:
-        (
-            rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(path)
-        )
-
-    def log(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        """All logged rows, none before the first batch; ``schema`` is that of the written rows."""
-        whole = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        try:
-            return spark.read.schema(whole).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], whole)
+        spark = rows.sparkSession
+        last = self.ledger.last(spark)
+        if last and batch_id <= last[BATCH]:
+            self._check_replay(rows, batch_id)
+            return
+        before = Content.of(last["content"]) if last else Content()
+        seen, kept = Observation(), Observation()
+        newest = latest_per_key(rows.observe(seen, *batch_counts(rows, self.position)), self.key, list(self.order))
+        tail = self._fresh("tail")
+        newest = newest.withColumn(BATCH, F.lit(batch_id).cast("long")).observe(kept, F.count(F.lit(1)).alias("n"))
+        newest.write.parquet(tail)
+        grown = Content(before.base, before.base_rows, (*before.tails, tail), before.tail_rows + kept.get.get("n", 0))
+        self.ledger.commit(spark, batch_id, seen.get, self._tidied(spark, rows.schema, grown).text())
 
     def current(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        """One row per key."""
-        order = [BATCH, *self.order] if self.arrival else list(self.order)
-        return latest_per_key(self.log(spark, schema), self.key, order).drop(BATCH)
-
-    def compact(self, spark: SparkSession, schema: T.StructType, path: str) -> KeyedLog:
-        """Write the current state to a new path and go on there.
-
-        Run it while the stream is stopped.  Should the newest batch be
-        replayed afterwards, it wins over the compacted rows, as before.
-        """
-        successor = KeyedLog(path, self.key, self.order, self.arrival)
-        successor._write(self.current(spark, schema), COMPACTED, path)
-        return successor
+        """One row per key, of the schema of the written rows; none before the first batch."""
+        last = self.ledger.last(spark)
+        content = Content.of(last["content"]) if last else Content()
+        return self._rows(spark, schema, content).drop(BATCH)
+
+    def _check_replay(self, rows: DataFrame, batch_id: int) -> None:
+        known = self.ledger.entry(rows.sparkSession, batch_id)
+        again = rows.agg(*batch_counts(rows)).first()
+        if known and (known["n_rows"], known["digest"]) != (again["n_rows"], again["digest"]):
+            raise ValueError(f"batch {batch_id} was committed with other rows; a new checkpoint needs a new state")
+
+    def _fresh(self, label: str) -> str:
+        return f"{self.path}/{label}-{uuid.uuid4().hex}"
+
+    def _whole(self, schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+
+    def _tail(self, spark: SparkSession, schema: T.StructType, content: Content) -> DataFrame:
+        if not content.tails:
+            return spark.createDataFrame([], self._whole(schema))
+        frames = [spark.read.schema(self._whole(schema)).parquet(path) for path in content.tails]
+        return latest_per_key(reduce(DataFrame.unionByName, frames), self.key, self._order)
+
+    def _rows(self, spark: SparkSession, schema: T.StructType, content: Content) -> DataFrame:
+        """Base and tails brought together, in the buckets of the base."""
+        tail = self._tail(spark, schema, content)
+        if not content.base:
+            return tail
+        base = read_bucketed(spark, content.base, self._whole(schema), [self.key], self.buckets)
+        if not content.tails:
+            return base
+        names = base.columns
+        rest = [n for n in names if n not in (self.key, *self._order)]
+
+        def packed(frame: DataFrame, label: str) -> DataFrame:
+            place = F.struct(*[F.col(n) for n in self._order], *orderable(frame, rest))
+            return frame.where(F.col(self.key).isNotNull()).select(
+                F.col(self.key).alias(f"{label}_key"), F.struct(*names).alias(f"{label}_row"), place.alias(f"{label}_place")
+            )
+
+        both = packed(base, "base").join(packed(tail, "tail"), F.col("base_key") == F.col("tail_key"), "full_outer")
+        newer = F.col("tail_row").isNotNull() & (F.col("base_row").isNull() | (F.col("tail_place") >= F.col("base_place")))
+        chosen = F.when(newer, F.col("tail_row")).otherwise(F.col("base_row"))
+        keyed = both.select(F.coalesce("base_key", "tail_key").alias(self.key), *[_field(chosen, n) for n in names if n != self.key])
+        nameless = base.unionByName(tail).where(F.col(self.key).isNull())
+        return keyed.select(*names).unionByName(latest_per_key(nameless, self.key, self._order))
+
+    def _tidied(self, spark: SparkSession, schema: T.StructType, content: Content) -> Content:
+        """The same state with few tails."""
+        if content.tail_rows > FOLD_SHARE * content.base_rows:
+            base = self._fresh("base")
+            write_bucketed(self._rows(spark, schema, content), base, [self.key], self.buckets)
+            return Content(base, self._count(spark, base))
+        if len(content.tails) > MOST_TAILS:
+            tail = self._fresh("tail")
+            self._tail(spark, schema, content).write.parquet(tail)
+            return Content(content.base, content.base_rows, (tail,), self._count(spark, tail))
+        return content
+
+    @staticmethod
+    def _count(spark: SparkSession, path: str) -> int:
+        return spark.read.schema(f"{BATCH} long").parquet(path).count()
+
+
+def _field(row: Column, name: str) -> Column:
+    return row.getField(name).alias(name)
 
 
 def index_batches(

@@ -14,7 +14,8 @@ from ..plans.visits import flatten_visits, malformed, older_visitors, parse_mess
 from ..session import fresh_path
 from ..sources.streams import table_rows
 from ..streaming.run import append_files, run_available, split_batch
-from ..streaming.upsert import KeyedLog, latest_per_key
+from ..streaming.ledger import read_written
+from ..streaming.upsert import KeyedState, latest_per_key
 from .base import query, table
 
 AS_OF = dt.date(2063, 7, 15)
@@ -156,7 +157,7 @@ def stream_flatten(spark, sf_dir):
     out, checkpoint = fresh_path(spark, "visits"), fresh_path(spark, "offsets")
     visits = _report(_visits(_event_stream(spark, sf_dir)))
     append_files(visits, out, checkpoint)
-    return spark.read.schema(visits.schema).parquet(out)
+    return read_written(spark, out, visits.schema)
 
 
 @query(_NEWEST)
@@ -167,7 +168,7 @@ def stream_upsert(spark, sf_dir):
     the input is cut into batches.
     """
     visits = _visits(_event_stream(spark, sf_dir))
-    log = KeyedLog(fresh_path(spark, "visit-log"), "custid", KEYS, arrival=False)
+    log = KeyedState(fresh_path(spark, "visit-log"), "custid", KEYS, arrival=False)
     run_available(visits, log.write_batch, fresh_path(spark, "offsets"))
     return _report(log.current(spark, visits.schema))
 
@@ -177,11 +178,76 @@ def stream_quarantine(spark, sf_dir):
     """Bad messages of each micro-batch set aside, the others upserted."""
     parsed = parse_messages(_messages(_event_stream(spark, sf_dir)))
     visits_log, bad = fresh_path(spark, "visit-log"), fresh_path(spark, "bad-messages")
-    log = KeyedLog(visits_log, "custid", KEYS)
+    log = KeyedState(visits_log, "custid", KEYS)
 
     def upsert(batch, batch_id):
         log.write_batch(older_visitors(flatten_visits(batch, keep=KEYS, as_of=AS_OF)), batch_id)
 
     run_available(parsed, split_batch(malformed, upsert, bad), fresh_path(spark, "offsets"))
     schema = "event_id bigint, ts timestamp_ntz, value string, batch_id bigint"
-    return spark.read.schema(schema).parquet(bad).select("event_id")
+    return read_written(spark, f"{bad}/*", schema).select("event_id")
+
+
+# --- several micro-batches -----------------------------------------------------
+
+# Fixed value: files, and so batches, that the events are cut into.
+PARTS = 6
+
+
+def _cut_events(spark, sf_dir):
+    """The events in one file for each remainder of their id; a stream takes one file a batch."""
+    events = table(spark, sf_dir, "events")
+    path = fresh_path(spark, "cut-events")
+    for part in range(PARTS):  # one after the other: batches follow the age of files
+        events.where(F.pmod("event_id", F.lit(PARTS)) == part).repartition(1).write.mode("append").parquet(path)
+    return table_rows(spark, path, events.schema, maxFilesPerTrigger="1")
+
+
+def _upsert_batches(spark, sf_dir, arrival):
+    """Every batch upserted, the last one twice, and a run without new input at the end."""
+    visits = _visits(_cut_events(spark, sf_dir))
+    state = KeyedState(fresh_path(spark, "visit-state"), "custid", KEYS, arrival=arrival, buckets=8, position="event_id")
+    offsets = fresh_path(spark, "offsets")
+
+    def batch(rows, batch_id):
+        state.write_batch(rows, batch_id)
+        if batch_id == PARTS - 1:
+            state.write_batch(rows, batch_id)
+
+    run_available(visits, batch, offsets)
+    run_available(visits, batch, offsets)
+    return state, visits.schema
+
+
+@query(_NEWEST)
+def stream_upsert_batches(spark, sf_dir):
+    """The same state as of one batch."""
+    state, schema = _upsert_batches(spark, sf_dir, False)
+    return _report(state.current(spark, schema))
+
+
+@query(
+    _VISITS
+    + f"""
+    SELECT * EXCLUDE (event_id, ts, place) FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY custid ORDER BY event_id % {PARTS} DESC, ts DESC, event_id DESC) AS place FROM visits)
+    WHERE place = 1
+    """
+)
+def stream_upsert_by_arrival(spark, sf_dir):
+    """A later batch wins, whatever the times of its visits."""
+    state, schema = _upsert_batches(spark, sf_dir, True)
+    return _report(state.current(spark, schema))
+
+
+@query(
+    _VISITS
+    + f"""
+    SELECT CAST(event_id % {PARTS} AS BIGINT) AS batch_id, COUNT(*) AS n_rows, CAST(MIN(event_id) AS VARCHAR) AS first_position,
+           CAST(MAX(event_id) AS VARCHAR) AS last_position FROM visits GROUP BY 1
+    """
+)
+def stream_ledger(spark, sf_dir):
+    """Rows and positions of each committed batch; the replayed one is there once."""
+    state, _ = _upsert_batches(spark, sf_dir, True)
+    return state.ledger.entries(spark).select("batch_id", "n_rows", "first_position", "last_position")

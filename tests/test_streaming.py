@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from millrace.plans.visits import flatten_visits, malformed, older_visitors, parse_messages
 from millrace.sources.streams import kafka_messages, kafka_options, table_rows, text_messages
 from millrace.streaming.run import append_files, run_available, run_every, split_batch
-from millrace.streaming.upsert import KeyedLog, index_batches, latest_per_key
+from millrace.streaming import upsert
+from millrace.streaming.ledger import BatchLedger, read_written
+from millrace.streaming.upsert import Content, KeyedState, index_batches, latest_per_key
 from test_visits import AS_OF, MESSAGES, message, visitor
 
 NOW = dt.datetime(2024, 6, 30, 7, 45)
@@ -49,7 +51,7 @@ def upsert_once(spark, tmp_path, log, checkpoint="offsets"):
 
 
 def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
-    log = KeyedLog(str(tmp_path / "log"), "custid", ("age",))
+    log = KeyedState(str(tmp_path / "log"), "custid", ("age",))
     schema = visits_of(spark.createDataFrame([], "value string")).schema
     ages = lambda current: {r.custid: r.age for r in current.current(spark, schema).collect()}
 
@@ -63,26 +65,102 @@ def test_later_batches_win_and_replays_change_nothing(spark, tmp_path):
 
     assert upsert_once(spark, tmp_path, log) == []  # nothing new: not called
 
-    logged = log.log(spark, schema).count()
     again = spark.createDataFrame([(message(visitor("ann", 50)),)], "value string")
     log.write_batch(visits_of(again), 1)
-    assert log.log(spark, schema).count() == logged
+    assert log.ledger.entries(spark).count() == 2
     assert ages(log) == {"ann": 50, "bob": 40}
-
-    compacted = log.compact(spark, schema, str(tmp_path / "compacted"))
-    assert ages(compacted) == {"ann": 50, "bob": 40}
-    compacted.write_batch(visits_of(again), 1)
-    assert ages(compacted) == {"ann": 50, "bob": 40}
+    with pytest.raises(ValueError, match="other rows"):
+        log.write_batch(visits_of(spark.createDataFrame([(message(visitor("cal", 50)),)], "value string")), 1)
     later = spark.createDataFrame([(message(visitor("bob", 38)),)], "value string")
-    compacted.write_batch(visits_of(later), 2)
-    assert ages(compacted) == {"ann": 50, "bob": 38}
+    log.write_batch(visits_of(later), 2)
+    assert ages(log) == {"ann": 50, "bob": 38}
+
+
+def test_nothing_before_the_first_batch(spark, tmp_path):
+    log = KeyedState(str(tmp_path / "log"), "k", ("t",))
+    schema = spark.createDataFrame([], "k string, t int").schema
+    assert log.current(spark, schema).collect() == []
+    assert log.ledger.entries(spark).collect() == []
+    assert log.ledger.last(spark) is None
+    assert read_written(spark, str(tmp_path / "none"), schema).columns == ["k", "t"]
+
+
+@pytest.mark.parametrize("arrival", [True, False])
+def test_many_batches_leave_few_folders(spark, tmp_path, monkeypatch, arrival):
+    """Tails are merged and folded; NULL keys and map columns are rows like others."""
+    monkeypatch.setattr(upsert, "MOST_TAILS", 2)
+    log = KeyedState(str(tmp_path / "log"), "k", ("t",), arrival=arrival, buckets=3)
+    schema = "k string, t long, v map<string,long>"
+    known = {}
+    for batch_id in range(9):
+        size = 200 if batch_id == 0 else 13
+        rows = [(None if k % 12 == 5 else f"k{(k * 7 + batch_id) % 210}", (k * 31 + batch_id * 17) % 97, {"n": 1000 * batch_id + k}) for k in range(size)]
+        log.write_batch(spark.createDataFrame(rows, schema).repartition(2), batch_id)
+        batch = {}
+        for k, t, v in rows:  # equal places: the larger text of the map
+            if k not in batch or (t, str(v)) > (batch[k][0], str(batch[k][1])):
+                batch[k] = (t, v)
+        for k, (t, v) in batch.items():
+            if arrival or k not in known or (t, str(v)) > (known[k][0], str(known[k][1])):
+                known[k] = (t, v)
+        content = Content.of(log.ledger.last(spark)["content"])
+        assert len(content.tails) <= 2
+        if batch_id in (0, 4, 8):
+            found = log.current(spark, spark.createDataFrame([], schema).schema).collect()
+            assert {r.k: (r.t, r.v) for r in found} == known and len(found) == len(known)
+    bases = [p for p in (tmp_path / "log").iterdir() if p.name.startswith("base")]
+    assert 1 <= len(bases) < 4
+
+
+def test_base_is_not_shuffled(spark, tmp_path):
+    log = KeyedState(str(tmp_path / "log"), "k", ("t",), buckets=8)
+    log.write_batch(spark.range(400).selectExpr("cast(id as string) as k", "id as t"), 0)
+    log.write_batch(spark.range(3).selectExpr("cast(id as string) as k", "id + 9 as t"), 1)
+    content = Content.of(log.ledger.last(spark)["content"])
+    assert content.base_rows == 400 and len(content.tails) == 1
+    current = log.current(spark, spark.createDataFrame([], "k string, t long").schema)
+    assert current.count() == 400 and current.agg(F.max("t")).first()[0] == 399
+    text = current._jdf.queryExecution().executedPlan().toString()
+    join = text[text.index("SortMergeJoin") :]
+    base_side = join[: join.index("base-")]
+    assert "Exchange" not in base_side
+    assert "Bucketed: true" in text
+
+
+def test_uncommitted_batch_leaves_no_trace(spark, tmp_path, monkeypatch):
+    log = KeyedState(str(tmp_path / "log"), "k", ("t",))
+    schema = "k string, t int"
+    log.write_batch(spark.createDataFrame([("a", 1)], schema), 0)
+    commit = BatchLedger.commit
+
+    def fail(*_):
+        raise RuntimeError("lost before the entry")
+
+    monkeypatch.setattr(BatchLedger, "commit", fail)
+    with pytest.raises(RuntimeError):
+        log.write_batch(spark.createDataFrame([("a", 5), ("b", 5)], schema), 1)
+    monkeypatch.setattr(BatchLedger, "commit", commit)
+    fields = spark.createDataFrame([], schema).schema
+    assert plain(log.current(spark, fields)) == [("a", 1)]
+    assert [r.batch_id for r in log.ledger.entries(spark).collect()] == [0]
+    log.write_batch(spark.createDataFrame([("a", 5), ("b", 6)], schema), 1)
+    assert plain(log.current(spark, fields)) == [("a", 5), ("b", 6)]
+
+
+def test_ledger_reads_its_newest_folder(spark, tmp_path, monkeypatch):
+    ledger = BatchLedger(str(tmp_path / "ledger"))
+    for batch_id in (0, 999, 1000, 12_345):
+        ledger.commit(spark, batch_id, {"n_rows": batch_id}, "{}")
+    assert ledger.last(spark)["batch_id"] == 12_345
+    assert ledger.entry(spark, 999)["n_rows"] == 999 and ledger.entry(spark, 5) is None
+    assert ledger.entries(spark).count() == 4
 
 
 def test_order_makes_batching_irrelevant(spark, tmp_path):
     """One file per batch, in any order, gives the state of one single batch."""
     rows = spark.range(400).selectExpr("cast(id % 50 as string) as k", "(id * 37) % 400 as t", "id as v")
     rows.repartition(6).write.parquet(str(tmp_path / "in"))
-    log = KeyedLog(str(tmp_path / "log"), "k", ("t",), arrival=False)
+    log = KeyedState(str(tmp_path / "log"), "k", ("t",), arrival=False)
     batches = []
 
     def batch(frame, batch_id):
@@ -96,7 +174,7 @@ def test_order_makes_batching_irrelevant(spark, tmp_path):
 
 
 def test_order_instead_of_arrival(spark, tmp_path):
-    log = KeyedLog(str(tmp_path / "log"), "k", ("t",), arrival=False)
+    log = KeyedState(str(tmp_path / "log"), "k", ("t",), arrival=False)
     for batch_id, (t, v) in enumerate([(5, "new"), (3, "late")]):
         log.write_batch(spark.createDataFrame([("a", t, v)], "k string, t int, v string"), batch_id)
     schema = spark.createDataFrame([], "k string, t int, v string").schema
@@ -105,7 +183,7 @@ def test_order_instead_of_arrival(spark, tmp_path):
 
 def test_failed_batch_is_run_again(spark, tmp_path):
     arrive(tmp_path / "in", "1.json", [message(visitor("ann", 60))])
-    log = KeyedLog(str(tmp_path / "log"), "custid", ("age",))
+    log = KeyedState(str(tmp_path / "log"), "custid", ("age",))
     stream = lambda: visits_of(text_messages(spark, str(tmp_path / "in")))
 
     def write_then_fail(rows, batch_id):
@@ -115,13 +193,13 @@ def test_failed_batch_is_run_again(spark, tmp_path):
     with pytest.raises(Exception, match="lost after the write"):
         run_available(stream(), write_then_fail, str(tmp_path / "offsets"))
     run_available(stream(), log.write_batch, str(tmp_path / "offsets"))
-    schema = stream().schema
-    assert log.log(spark, schema).count() == 1
+    assert [r.n_rows for r in log.ledger.entries(spark).collect()] == [1]
+    assert log.current(spark, stream().schema).count() == 1
 
 
 def test_bad_messages_are_set_aside(spark, tmp_path):
     arrive(tmp_path / "in", "1.json", MESSAGES)
-    log = KeyedLog(str(tmp_path / "log"), "custid", ("age",))
+    log = KeyedState(str(tmp_path / "log"), "custid", ("age",))
 
     def upsert(parsed, batch_id):
         log.write_batch(older_visitors(flatten_visits(parsed, as_of=AS_OF, now=NOW)), batch_id)
@@ -135,7 +213,7 @@ def test_bad_messages_are_set_aside(spark, tmp_path):
 
 def test_interval_trigger_runs_until_stopped(spark, tmp_path):
     arrive(tmp_path / "in", "1.json", [message(visitor("ann", 60))])
-    log = KeyedLog(str(tmp_path / "log"), "custid", ("age",))
+    log = KeyedState(str(tmp_path / "log"), "custid", ("age",))
     stream = visits_of(text_messages(spark, str(tmp_path / "in")))
     query = run_every(stream, log.write_batch, str(tmp_path / "offsets"), "100 milliseconds")
     try:
@@ -143,7 +221,7 @@ def test_interval_trigger_runs_until_stopped(spark, tmp_path):
         assert query.isActive
     finally:
         query.stop()
-    assert log.log(spark, stream.schema).count() == 1
+    assert log.current(spark, stream.schema).count() == 1
 
 
 def test_latest_per_key_with_a_hot_key(spark):
