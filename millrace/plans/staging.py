@@ -11,6 +11,7 @@ from ..functions.dates import CLOCK, as_of_date, as_of_time, clock_text
 from ..functions.text import composite_key, known_or_default, protocol_of, strip_special
 from ..operators.rows import on_route, route_by_letters
 from ..operators.tables import group_report, lower_names, precount
+from ..sinks.bucketed import SALT, colocate
 
 
 def stage_policies(
@@ -50,17 +51,26 @@ def states_and_customers(mixed: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
     return states, customers, on_route(routed, "other")
 
 
+def colocate_policies(network: DataFrame, customers: DataFrame, folder: str, **layout: int) -> tuple[DataFrame, DataFrame]:
+    """Policies and customers stored for joins that do not shuffle them; see ``colocate``."""
+    return colocate(network, "custnum", customers, "custcode", folder, **layout)
+
+
 def enrich(network: DataFrame, states: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per policy with its state, customer, protocol, year and month.
 
     No side is forced: Spark broadcasts what its size statistics allow and
-    splits skewed partitions of the shuffled joins at run time.
+    splits skewed partitions of the shuffled joins at run time.  Frames from
+    ``colocate_policies`` are joined where they lie.
     """
+    same = network["custnum"] == customers["custcode"]
+    if SALT in network.columns and SALT in customers.columns:
+        same = same & (network[SALT] == customers[SALT])
     return (
-        network.join(states, F.col("stcd") == F.col("statecode"))
-        .join(customers, F.col("custnum") == F.col("custcode"))
+        network.join(customers, same)
+        .join(states, F.col("stcd") == F.col("statecode"))
         .select(
-            *[network[name] for name in network.columns],
+            *[network[name] for name in network.columns if name != SALT],
             protocol_of(F.col("networkurl")).alias("protocol"),
             F.year("businessdate").alias("year"),
             F.month("businessdate").alias("m"),

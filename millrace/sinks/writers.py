@@ -67,10 +67,13 @@ def append_external_table(frame: DataFrame, table: str, path: str) -> None:
     frame.write.mode("append").option("path", path).saveAsTable(table)
 
 
-def append_jdbc(frame: DataFrame, url: str, table: str, properties: dict[str, str], connections: int | None = None) -> None:
-    """Append to a database table; each partition opens one connection."""
-    out = frame.coalesce(connections) if connections else frame
-    out.write.mode("append").jdbc(url, table, properties=properties)
+def append_jdbc(frame: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 8) -> None:
+    """Append to a database table, over as many connections as given.
+
+    The rows are dealt out anew for the writing, so the work before it keeps
+    its own number of tasks.
+    """
+    frame.repartition(connections).write.mode("append").jdbc(url, table, properties=properties)
 
 
 def upsert_search_index(

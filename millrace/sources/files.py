@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import YEAR_FIRST
+from ..functions.text import tokens
 from .layouts import CORRUPT, MIXED, with_corrupt
 
 # Smallest 64-bit integer: no hash value lies below it.
@@ -109,6 +110,58 @@ def read_mixed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+# Texts of numbers and truth values.
+_WHOLE, _NUMBER, _TRUTH = r"^[+-]?\d+$", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", r"(?i)^(true|false)$"
+
+
+_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType(), "boolean": T.BooleanType()}
+
+
+def _kinds(token: Column) -> dict[str, Column]:
+    """Does a token fit a type?  From the narrowest to the widest; anything is a string."""
+    return {
+        "int": token.rlike(_WHOLE) & token.try_cast("int").isNotNull(),
+        "bigint": token.rlike(_WHOLE) & token.try_cast("long").isNotNull(),
+        "double": token.rlike(_NUMBER),
+        "date": token.rlike(r"^\d{4}-\d{2}-\d{2}$") & token.try_cast("date").isNotNull(),
+        "boolean": token.rlike(_TRUTH),
+    }
+
+
+def infer_delimited(
+    spark: SparkSession, paths: str | list[str], *, delimiter: str = ",", null_value: str = ""
+) -> T.StructType:
+    """The narrowest type of each position that all its tokens fit, from all rows of ragged files.
+
+    The width is that of the longest row, whichever shape comes first.  Empty
+    tokens and ``null_value`` fit every type; a position without any other is
+    a string.  Both passes are aggregations that tasks begin by themselves.
+    """
+    lines = spark.read.text(paths)
+    parts = lines.where(F.length("value") > 0).select(tokens(F.col("value"), delimiter).alias("tok"))
+    width = parts.agg(F.max(F.size("tok"))).first()[0] or 0
+    checks = []
+    for k in range(width):
+        token = F.trim(F.try_element_at("tok", F.lit(k + 1)))
+        token = F.when(~token.isin("", null_value), token)
+        checks.append(F.count(token).alias(f"n_{k}"))
+        checks += [F.bool_and(F.when(token.isNotNull(), fits)).alias(f"{kind}_{k}") for kind, fits in _kinds(token).items()]
+    found = parts.agg(*checks).first() if width else {}
+    schema = T.StructType()
+    for k in range(width):
+        fitting = [kind for kind in _kinds(F.lit("")) if found[f"n_{k}"] and found[f"{kind}_{k}"]]
+        schema.add(f"_c{k}", _TYPES[fitting[0]] if fitting else T.StringType())
+    return schema
+
+
+def read_inferred(
+    spark: SparkSession, paths: str | list[str], *, delimiter: str = ",", null_value: str = "", **options: str
+) -> DataFrame:
+    """Ragged files under the schema that ``infer_delimited`` finds; short rows are padded with NULL."""
+    schema = infer_delimited(spark, paths, delimiter=delimiter, null_value=null_value)
+    return spark.read.schema(schema).csv(paths, sep=delimiter, nullValue=null_value, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options)
+
+
 def load_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType, delimiter: str = ",") -> DataFrame:
     """Plain delimited load with named, typed fields; unreadable values are NULL."""
     return spark.read.schema(schema).csv(paths, sep=delimiter)

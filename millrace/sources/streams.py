@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Messages of a micro-batch at most; the first one would otherwise be the whole topic.
+PER_BATCH = 10_000_000
+
+
 def kafka_options(servers: str, topics: str | list[str], **extra: str) -> dict[str, str]:
-    """Reader options: subscribe and start from the earliest offset."""
+    """Reader options: subscribe and start from the earliest offset, with batches of bounded size."""
     names = topics if isinstance(topics, str) else ",".join(topics)
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": names,
         "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(PER_BATCH),
         **extra,
     }
 

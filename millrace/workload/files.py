@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators.lines import (
@@ -17,9 +18,11 @@ from ..operators.lines import (
     store_lines,
     tokenise,
 )
-from ..plans.cleansing import cleanse_to_files, merge
+from ..operators.rows import route_by_letters
+from ..plans.cleansing import cleanse_files, cleanse_to_files, merge
 from ..plans.staging import (
     clean_network_names,
+    colocate_policies,
     enrich,
     protocol_report,
     stage_policies,
@@ -29,7 +32,9 @@ from ..session import fresh_path
 from ..sources.files import (
     accepted,
     file_census,
+    infer_delimited,
     load_delimited,
+    read_inferred,
     read_lines,
     read_mixed,
     read_records,
@@ -96,8 +101,8 @@ def _policy_records(spark, sf_dir):
     return read_records(spark, path, POLICY)
 
 
-def _mixed_file(spark, sf_dir):
-    """Customers (five fields) and nations (two fields) in one folder."""
+def _mixed_path(spark, sf_dir):
+    """Customers (five fields), nations (two fields) and regions without a key in one folder."""
     path = fresh_path(spark, "custs-states")
     age = F.when(F.col("c_nationkey") != 3, (F.col("c_nationkey") + 20).cast("string")).otherwise("na")
     customers = table(spark, sf_dir, "customer").select(
@@ -106,8 +111,13 @@ def _mixed_file(spark, sf_dir):
     states = table(spark, sf_dir, "nation").select(
         F.concat_ws(",", "n_name", F.concat(F.lit("State "), F.col("n_regionkey"))).alias("value")
     )
-    customers.unionByName(states).write.text(path)
-    return read_mixed(spark, path)
+    keyless = table(spark, sf_dir, "region").select(F.concat_ws(",", F.lit("na"), "r_name").alias("value"))
+    customers.unionByName(states).unionByName(keyless).write.text(path)
+    return path
+
+
+def _mixed_file(spark, sf_dir):
+    return read_mixed(spark, _mixed_path(spark, sf_dir))
 
 
 def _network(spark, sf_dir):
@@ -148,34 +158,63 @@ def policy_audit(spark, sf_dir):
 @query(
     "WITH"
     + _POLICY_TEXT
-    + "SELECT CAST(IssuerId AS VARCHAR) AS issuer FROM policy_text WHERE BusinessDate = 'unknown'"
+    + """
+    SELECT concat_ws(',', CAST(IssuerId AS VARCHAR), COALESCE(CAST(IssuerId2 AS VARCHAR), ''), BusinessDate, COALESCE(StateCode, ''), SourceName,
+                     COALESCE(NetworkName, ''), NetworkURL, COALESCE(custnum, ''), MarketCoverage, DentalOnlyPlan) AS record
+    FROM policy_text WHERE BusinessDate = 'unknown'
+    """
 )
 def policy_rejects(spark, sf_dir):
     """Rejected records keep their text."""
-    bad = rejected(_policy_records(spark, sf_dir))
-    return bad.select(F.split("_corrupt_record", ",")[0].alias("issuer"))
+    return rejected(_policy_records(spark, sf_dir)).toDF("record")
+
+
+_MIXED = """
+    WITH mixed AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS label, 'last' AS lname,
+               CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey + 20 AS VARCHAR) END AS age, c_mktsegment AS proffession
+        FROM customer
+        UNION ALL SELECT n_name, 'State ' || n_regionkey, NULL, NULL, NULL FROM nation
+        UNION ALL SELECT NULL, r_name, NULL, NULL, NULL FROM region)
+"""
+
+
+@query(_MIXED + "SELECT *, CASE WHEN key IS NULL THEN 'other' WHEN upper(key) <> lower(key) THEN 'state' ELSE 'customer' END AS route FROM mixed")
+def mixed_file_routes(spark, sf_dir):
+    """Both shapes of the mixed file and the rows that fit neither, from one scan."""
+    routed = route_by_letters(_mixed_file(spark, sf_dir), "_c0")
+    return routed.toDF("key", "label", "lname", "age", "proffession", "route")
 
 
 @query(
-    """
-    SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS label, 'last' AS lname,
-           CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey + 20 AS VARCHAR) END AS age, c_mktsegment AS proffession
-    FROM customer
-    UNION ALL SELECT n_name, 'State ' || n_regionkey, NULL, NULL, NULL FROM nation
+    _MIXED
+    + r"""
+    , tokens AS (
+        SELECT unnest(range(5)) AS position, unnest([key, label, lname, age, proffession]) AS token FROM mixed),
+    kinds AS (
+        SELECT position, COUNT(token) AS n,
+               COUNT(*) FILTER (regexp_full_match(token, '[+-]?[0-9]+') AND TRY_CAST(token AS INTEGER) IS NOT NULL) AS ints,
+               COUNT(*) FILTER (regexp_full_match(token, '[+-]?[0-9]+') AND TRY_CAST(token AS BIGINT) IS NOT NULL) AS longs
+        FROM tokens GROUP BY position)
+    SELECT CAST(position AS BIGINT) AS position, CASE WHEN n > 0 AND ints = n THEN 'int' WHEN n > 0 AND longs = n THEN 'bigint' ELSE 'string' END AS kind
+    FROM kinds
     """
 )
-def mixed_file_routes(spark, sf_dir):
-    """Both shapes of the mixed file, and the rows that fit neither."""
-    states, customers, other = states_and_customers(_mixed_file(spark, sf_dir))
-    names = ["key", "label", "lname", "age", "proffession"]
-    return (
-        customers.toDF(*names)
-        .unionByName(states.toDF(*names[:2]), allowMissingColumns=True)
-        .unionByName(other.toDF(*names))
-    )
+def mixed_file_schema(spark, sf_dir):
+    """The types that all rows of the mixed file allow, position by position."""
+    schema = infer_delimited(spark, _mixed_path(spark, sf_dir), null_value="na")
+    rows = [(k, f.dataType.simpleString()) for k, f in enumerate(schema.fields)]
+    return spark.createDataFrame(rows, "position long, kind string")
 
 
-@query(
+@query(_MIXED + "SELECT key, label, lname, CAST(age AS INTEGER) AS age, proffession FROM mixed")
+def mixed_file_inferred(spark, sf_dir):
+    """Rows of the mixed file under the types found."""
+    path = _mixed_path(spark, sf_dir)
+    return read_inferred(spark, path, null_value="na").toDF("key", "label", "lname", "age", "proffession")
+
+
+_DETAIL = (
     "WITH"
     + _POLICY_TEXT
     + """
@@ -185,9 +224,10 @@ def mixed_file_routes(spark, sf_dir):
     FROM network JOIN nation ON StateCode = n_name JOIN people ON custnum = custcode
     """
 )
-def policy_detail(spark, sf_dir):
-    states, customers, _ = states_and_customers(_mixed_file(spark, sf_dir))
-    detail = enrich(_network(spark, sf_dir), states, customers)
+
+
+def _detail(network, states, customers):
+    detail = enrich(network, states, customers)
     longs = {name: F.col(name).cast("long") for name in ("issuerid", "year", "m")}
     return detail.withColumns(longs).select(
         "issuerid", "cleansed_networkname", "protocol", "businessdate", "year", "m",
@@ -195,6 +235,25 @@ def policy_detail(spark, sf_dir):
     )
 
 
+@query(_DETAIL)
+def policy_detail(spark, sf_dir):
+    states, customers, _ = states_and_customers(_mixed_file(spark, sf_dir))
+    return _detail(_network(spark, sf_dir), states, customers)
+
+
+@query(_DETAIL)
+def policy_detail_colocated(spark, sf_dir):
+    """The same from policies and customers that are stored in the same buckets."""
+    states, customers, _ = states_and_customers(_mixed_file(spark, sf_dir))
+    folder = fresh_path(spark, "colocated")
+    return _detail(*_around(states, colocate_policies(_network(spark, sf_dir), customers, folder, buckets=8)))
+
+
+def _around(states, stored):
+    network, customers = stored
+    return network, states, customers
+
+
 @query(
     "WITH"
     + _POLICY_TEXT
@@ -417,6 +476,23 @@ def numbered_file_lines(spark, sf_dir):
     return numbered.select(_folder(), "line_no", F.col("value").alias("line"))
 
 
+@query(
+    _DROPS
+    + """
+    SELECT 'accepted' AS result, COUNT(*) AS n, COUNT(DISTINCT IssuerId) AS issuers FROM first_drop
+    UNION ALL SELECT 'rejected', 0, 0 UNION ALL SELECT 'raw', COUNT(*) + 2 * COUNT(DISTINCT CAST(IssuerId AS BIGINT) // 5000), 0 FROM first_drop
+    """
+)
+def held_drop_counts(spark, sf_dir):
+    """Three actions on the lines of one drop, which are held in memory and on disk between them."""
+    path = _drop_file(_policy_rows(spark, sf_dir), "drop")
+    done = cleanse_files(spark, path, hold=StorageLevel.MEMORY_AND_DISK)
+    accepted_rows = done.records.agg(F.lit("accepted").alias("result"), F.count(F.lit(1)).alias("n"), F.countDistinct("IssuerId").alias("issuers"))
+    rejected_rows = done.rejects.agg(F.lit("rejected").alias("result"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("issuers"))
+    raw = done.audit.select(F.lit("raw").alias("result"), F.col("raw_lines").alias("n"), F.lit(0).cast("long").alias("issuers"))
+    return accepted_rows.unionByName(rejected_rows).unionByName(raw)
+
+
 # --- round trips -------------------------------------------------------------
 
 _ORDERS = """
@@ -457,6 +533,34 @@ def text_roundtrip(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT CAST(ts AS DATE) AS day,
+           'insureclass(' || concat_ws(',', COALESCE(CAST(event_id AS VARCHAR), 'null'), COALESCE(CAST(user_id AS VARCHAR), 'null'),
+               COALESCE(event_type, 'null'), COALESCE(CAST(CAST(ts AS DATE) AS VARCHAR), 'null')) || ')' AS line
+    FROM events
+    """
+)
+def records_by_day(spark, sf_dir):
+    """Records in text form, a folder for each business day; the day comes from the folder."""
+    path = fresh_path(spark, "events-by-day")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day"))
+    write_records_text(events, path, by="day")
+    day = F.url_decode(F.regexp_extract("file_path", "day_slice=([^/]*)/", 1))
+    return read_lines(spark, path).select(day.try_cast("date").alias("day"), F.col("value").alias("line"))
+
+
+@query("SELECT 3 AS files, COUNT(*) AS records, COUNT(DISTINCT o_orderkey) AS orders FROM orders")
+def records_in_partitions(spark, sf_dir):
+    """Records in text form, written by as many tasks as asked for."""
+    path = fresh_path(spark, "orders-in-three")
+    write_records_text(_orders(spark, sf_dir), path, partitions=3)
+    lines = read_lines(spark, path)
+    return lines.agg(
+        F.countDistinct("file_path").cast("int").alias("files"), F.count(F.lit(1)).alias("records"), F.countDistinct("value").alias("orders")
+    )
+
+
 @query(_ORDERS)
 def table_roundtrip(spark, sf_dir):
     """Two appends to an external table, read back through a view.

@@ -15,6 +15,7 @@ from ..session import fresh_path
 from ..sources.streams import table_rows
 from ..streaming.run import append_files, run_available, split_batch
 from ..streaming.ledger import read_written
+from ..streaming.schemas import LearntMessages, field_paths
 from ..streaming.upsert import KeyedState, latest_per_key
 from .base import query, table
 
@@ -251,3 +252,61 @@ def stream_ledger(spark, sf_dir):
     """Rows and positions of each committed batch; the replayed one is there once."""
     state, _ = _upsert_batches(spark, sf_dir, True)
     return state.ledger.entries(spark).select("batch_id", "n_rows", "first_position", "last_position")
+
+
+# --- schemas that change between batches -----------------------------------------
+
+
+def _drifting(events):
+    """From the middle batch on, a visitor has a nationality and ages have a fraction."""
+    later = F.pmod("event_id", F.lit(PARTS)) >= PARTS // 2
+    age = F.from_json("props", "k int")["k"].cast("string")
+    login = F.concat(F.lit('{"login":{"username":"'), F.coalesce(F.col("user_id").cast("string"), F.lit("")), F.lit('"},"dob":{"age":'), F.coalesce(age, F.lit("null")))
+    entry = F.concat(login, F.when(later, F.concat(F.lit('.5},"nat":"'), F.lit("N"), F.col("event_id").cast("string"), F.lit('"}'))).otherwise("}}"))
+    start = F.when(F.col("event_type") == "error", "{").otherwise("")
+    return events.select("event_id", F.concat(start, F.lit('{"results":['), entry, F.lit("]}")).alias("value"))
+
+
+def _learnt(spark, sf_dir):
+    rows = _drifting(_cut_events(spark, sf_dir).where("event_id is not null and get_json_object(props, '$.k') is not null"))
+    messages = LearntMessages(fresh_path(spark, "learnt"))
+    run_available(rows, messages.write_batch, fresh_path(spark, "offsets"))
+    return messages, rows.schema
+
+
+_DRIFT = f"""
+    WITH rows AS (
+        SELECT event_id, event_id % {PARTS} AS part, event_type, CAST(user_id AS VARCHAR) AS username, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+        FROM events WHERE json_extract(props, '$.k') IS NOT NULL)
+"""
+
+
+@query(
+    _DRIFT
+    + f"""
+    SELECT event_id, COALESCE(username, '') AS username, CASE WHEN part >= {PARTS // 2} THEN k + 0.5::DOUBLE ELSE CAST(k AS DOUBLE) END AS age,
+           CASE WHEN part >= {PARTS // 2} THEN 'N' || CAST(event_id AS VARCHAR) END AS nat
+    FROM rows WHERE COALESCE(event_type, '') <> 'error'
+    """
+)
+def stream_learnt_schema(spark, sf_dir):
+    """Messages of all batches under the schema that they have taught: a field is new and a type has widened half way."""
+    messages, schema = _learnt(spark, sf_dir)
+    entries = messages.read(spark, schema).select("event_id", F.explode("doc.results").alias("res"))
+    return entries.select("event_id", F.col("res.login.username").alias("username"), F.col("res.dob.age").alias("age"), F.col("res.nat").alias("nat"))
+
+
+@query(
+    _DRIFT
+    + f"""
+    , batches AS (SELECT DISTINCT CAST(part AS BIGINT) AS batch_id FROM rows WHERE COALESCE(event_type, '') <> 'error')
+    SELECT batch_id, 'results[].login.username' AS field, 'string' AS kind FROM batches
+    UNION ALL SELECT batch_id, 'results[].dob.age', CASE WHEN batch_id >= {PARTS // 2} THEN 'double' ELSE 'bigint' END FROM batches
+    UNION ALL SELECT batch_id, 'results[].nat', 'string' FROM batches WHERE batch_id >= {PARTS // 2}
+    """
+)
+def stream_schema_history(spark, sf_dir):
+    """Every field and its type after each batch."""
+    messages, _ = _learnt(spark, sf_dir)
+    rows = [(batch, *leaf) for batch, schema in messages.history(spark) for leaf in field_paths(schema)]
+    return spark.createDataFrame(rows, "batch_id long, field string, kind string")

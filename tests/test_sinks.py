@@ -121,7 +121,7 @@ def test_jdbc_call():
     frame = Recorder()
     append_jdbc(frame, "jdbc:x://host:1/db", "aggregated", {"user": "u"}, connections=4)
     assert frame.calls == [
-        ("coalesce", (4,), {}),
+        ("repartition", (4,), {}),
         ("mode", ("append",), {}),
         ("jdbc", ("jdbc:x://host:1/db", "aggregated"), {"properties": {"user": "u"}}),
     ]
