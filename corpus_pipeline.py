@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, ngram_join, suffix_dedup, toxicity
 from millrace.session import fresh_path
 
+#: Column with the identity of a row.
+PLACE = "_place_of_document"
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
@@ -20,41 +24,72 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.where(~F.col("rejected")).select("_row.*")
 
 
+def with_place(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Add the file and row that each document was read from: an identity that no two rows share.
+
+    A frame that is no plain reading of files is written first.
+    """
+
+    def placed(frame: DataFrame) -> DataFrame:
+        source = frame.metadataColumn("_metadata")
+        place = F.struct(source["file_path"].alias("file"), source["row_index"].alias("row"))
+        return frame.select(*[F.col(f"`{c}`") for c in docs.columns], place.alias(PLACE))
+
+    try:
+        return placed(docs)
+    except AnalysisException:
+        path = fresh_path(spark, "documents")
+        docs.write.parquet(path)
+        return placed(spark.read.schema(docs.schema).parquet(path))
+
+
+def _same_place(docs: DataFrame, chosen: DataFrame) -> Column:
+    return (docs[PLACE]["file"] == chosen["file"]) & (docs[PLACE]["row"] == chosen["row"])
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest id.
 
-    Of rows that share this id, the one with the smallest text stays.
+    Of rows that share this id one stays, the first in the files; a row
+    without an id stays only if no row of its component has one.
     """
-    component = ngram_join.ngram_components(docs, width=5, percent=80).select(F.col("doc_id").alias("_id"), "component_id")
-    kept = component.where(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    ordered = F.struct("text", *[c for c in docs.columns if c != "text"])
-    first = docs.groupBy(F.col("doc_id").alias("_first_id")).agg(F.min(ordered).alias("m"))
-    return first.join(kept, F.col("_first_id").eqNullSafe(F.col("_id"))).select(*[f"m.{c}" for c in docs.columns])
+    docs = with_place(spark, docs)
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", PLACE)
+    found = ngram_join.ngram_components(docs.select(key.alias("key"), "text"), width=5, percent=80, key="key")
+    kept = found.where(F.col("key").eqNullSafe(F.col("component_id"))).select(f"key.{PLACE}.*")
+    return docs.join(kept, _same_place(docs, kept), "left_semi").drop(PLACE)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings of 400 bytes that occur elsewhere as well.
 
     A character that loses some of its bytes goes as a whole; a document of
-    which nothing is left goes, too.
+    which nothing is left goes, too.  The text travels once, beside the other
+    columns.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    rows = docs.select(F.struct(others.alias("others"), F.col("text").isNull().alias("missing")).alias("_row"), "text")
     cut = suffix_dedup.remove_repeats(rows, length=400)
+    untouched = F.size("removed") == 0
     kept = F.col("kept").cast("string")
     whole = F.coalesce(F.try_validate_utf8(kept), F.regexp_replace(F.make_valid_utf8(kept), "\ufffd", ""))
-    left = F.when(F.size("removed") == 0, F.col("_row.text")).otherwise(whole)
-    done = cut.select("_row", "removed", left.alias("_left")).where((F.size("removed") == 0) | (F.length(F.trim("_left")) > 0))
-    named = {"text": F.col("_left"), "n_chars": F.char_length("_left").cast("long")}
-    changed = [F.when(F.size("removed") == 0, F.col(f"_row.{c}")).otherwise(named[c]).alias(c) if c in named else F.col(f"_row.{c}").alias(c) for c in docs.columns]
-    return done.select(*changed)
+    left = F.when(untouched, F.when(~F.col("_row.missing"), kept)).otherwise(whole)
+    done = cut.select("_row.others", untouched.alias("_untouched"), left.alias("_left")).where("_untouched or length(trim(_left)) > 0")
+    named = {"text": F.col("_left")}
+    if "n_chars" in docs.columns:
+        named["n_chars"] = F.when(F.col("_untouched"), F.col("others.n_chars")).otherwise(F.char_length("_left").cast("long"))
+    return done.select(*[(named[c] if c in named else F.col("others").getField(c)).alias(c) for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of ten words of a benchmark item."""
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    index = decontaminate.index_postings(packed, key="_row")
+    docs = with_place(spark, docs)
+    index = decontaminate.index_postings(docs, key=PLACE)
     found = decontaminate.find_passages(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
-    return found.where("n_hit = 0").select("doc_key.*")
+    path = fresh_path(spark, "contaminated")
+    found.where("n_hit > 0").select("doc_key.*").write.parquet(path)
+    hit = spark.read.schema("file string, row long").parquet(path)
+    return docs.join(hit, _same_place(docs, hit), "left_anti").drop(PLACE)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ of a partition; a longer text is one slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,6 +58,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release_memory() -> None:
+    """Give memory that a worker holds for later back to the machine: the next task may be another's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no such call on this platform
+        pass
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task's function that releases what it has used at its end."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return wrapped
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column, and where each row begins; null is empty."""
     if column.null_count:
@@ -180,4 +202,4 @@ def append_columns(
                 columns = [*part.columns[: len(kept)], *compute(column_of(part, name))]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)

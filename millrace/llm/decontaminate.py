@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from .arrays import ALNUM, byte_view, lowered, slices, word_bounds, word_hashes
+from .arrays import ALNUM, byte_view, lowered, releasing, slices, word_bounds, word_hashes
 
 BLOCK_BYTES = 2 << 20  # of test items that are broadcast at once
 
@@ -65,7 +65,7 @@ def index_postings(docs: DataFrame, folder: str | None = None, key: str = "doc_i
                 listed = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
                 yield pa.RecordBatch.from_arrays([listed, *(pa.array([b.tobytes()], pa.binary()) for b in blobs)], names=["doc_keys", "first_words", "terms", "begins", "positions"])
 
-    source.mapInArrow(run, schema).write.parquet(folder)
+    source.mapInArrow(releasing(run), schema).write.parquet(folder)
     return spark.read.parquet(folder)
 
 
@@ -141,7 +141,7 @@ def _collect_block(items: DataFrame) -> tuple[list, np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([part.column("_item"), pa.array(blobs, pa.binary())], names=["_item", "words"])
 
     kind = items.schema["_item"].dataType.simpleString()
-    rows = items.mapInArrow(run, f"_item {kind}, words binary").collect()
+    rows = items.mapInArrow(releasing(run), f"_item {kind}, words binary").collect()
     words = [np.frombuffer(r[1], np.uint64) for r in rows]
     first = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)]) if rows else np.zeros(1, np.int64)
     return [r[0] for r in rows], np.concatenate(words) if rows else np.zeros(0, np.uint64), first
@@ -208,7 +208,7 @@ def find_passages(index: DataFrame, items: DataFrame, width: int = 10, slop: int
         from pyspark.sql.pandas.types import to_arrow_type
 
         arrow_item = to_arrow_type(item_type)
-        return index.mapInArrow(run, out)
+        return index.mapInArrow(releasing(run), out)
 
     parts = [search(source.filter(F.pmod(F.xxhash64("_item", "_text"), F.lit(blocks)) == b) if blocks > 1 else source) for b in range(blocks)]
     found = parts[0]

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from .arrays import NOT_SPACE, append_columns, byte_view, lowered, mix, slices, window_hashes, word_bounds, word_hashes
+from .arrays import NOT_SPACE, append_columns, byte_view, lowered, mix, releasing, slices, window_hashes, word_bounds, word_hashes
 from .buckets import bucket_count, grouped, packed, split, unpacked
 from .components import connected_components
 from .shared_files import attempt_name, file_system
@@ -161,7 +161,7 @@ def write_sets(docs: DataFrame, width: int, text: str) -> DataFrame:
             sink.close()
 
     path = fresh_path(spark, "set-catalogue")
-    sets.mapInArrow(run, "file string, part int").write.parquet(path)
+    sets.mapInArrow(releasing(run), "file string, part int").write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -183,7 +183,7 @@ def read_sets(catalogue: DataFrame) -> DataFrame:
             for file, part in zip(batch.column("file").to_pylist(), batch.column("part").to_pylist()):
                 yield read_part(file, part).select(["node", "n_shingles", "_text"])
 
-    return spread_parts(catalogue).mapInArrow(run, "node long, n_shingles long, _text string")
+    return spread_parts(catalogue).mapInArrow(releasing(run), "node long, n_shingles long, _text string")
 
 
 def gram_ranks(catalogue: DataFrame, width: int, buckets: int) -> DataFrame:
@@ -205,7 +205,7 @@ def gram_ranks(catalogue: DataFrame, width: int, buckets: int) -> DataFrame:
         ranks = packed(rank_of(counts)[number], np.concatenate([[0], np.cumsum(sizes)]))
         return table.select(["file", "part", "bucket"]).append_column("ranks", ranks)
 
-    sent = spread_parts(catalogue).mapInArrow(send, "file string, part int, bucket int, cells binary")
+    sent = spread_parts(catalogue).mapInArrow(releasing(send), "file string, part int, bucket int, cells binary")
     return sent.groupBy("bucket").applyInArrow(count, "file string, part int, bucket int, ranks binary")
 
 
@@ -246,7 +246,7 @@ def shared_keys(catalogue: DataFrame, width: int, percent: int, buckets: int) ->
         pairs = np.unique(np.stack([least[other], nodes[other]], 1), axis=0).astype(np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = ranks.select("place", "file", "part", "ranks").mapInArrow(send, "bucket int, keys binary, nodes binary")
+    sent = ranks.select("place", "file", "part", "ranks").mapInArrow(releasing(send), "bucket int, keys binary, nodes binary")
     return sent.groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
@@ -322,7 +322,7 @@ def compared(
     placed = members.join(tiles, ["block", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     small = placed.where("small").select(F.col("block").alias("tile"), "node", "_text")
     large = placed.where("NOT small").select(F.concat_ws("/", "block", "band", "own").alias("tile"), "node", "_text", "block", "band", "own", "tiles", "tiles_above")
-    within = small.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda batches: compare_whole(batches, width, percent), "a long, b long")
+    within = small.repartition("tile").sortWithinPartitions("tile").mapInArrow(releasing(lambda batches: compare_whole(batches, width, percent)), "a long, b long")
     return within.unionByName(compared_across(large, width, percent))
 
 
@@ -359,7 +359,7 @@ def compared_across(members: DataFrame, width: int, percent: int) -> DataFrame:
 
     path = fresh_path(spark, "tile-catalogue")
     schema = T.StructType([*members.select(*about).schema.fields, T.StructField("file", T.StringType())])
-    members.repartition("tile").sortWithinPartitions("tile").mapInArrow(write, schema).write.parquet(path)
+    members.repartition("tile").sortWithinPartitions("tile").mapInArrow(releasing(write), schema).write.parquet(path)
     tiles = spark.read.parquet(path)
 
     # Every tile with the later ones of its band and with all of the next band.
@@ -387,7 +387,7 @@ def compared_across(members: DataFrame, width: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("lower", "upper").repartition(tasks, "lower", "upper").mapInArrow(run, "a long, b long")
+    return pairs.select("lower", "upper").repartition(tasks, "lower", "upper").mapInArrow(releasing(run), "a long, b long")
 
 
 def ngram_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", tile_sets: int = TILE_SETS, tile_grams: int = TILE_GRAMS) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import _BASE, _BASE_INVERSE, _BYTE_VALUES, HASH_BYTES, byte_view, mix, powers, slices
+from .arrays import _BASE, _BASE_INVERSE, _BYTE_VALUES, HASH_BYTES, byte_view, mix, powers, releasing, slices
 from .buckets import bucket_count, packed, split, unpacked
 
 GRAM = 32
@@ -199,7 +199,7 @@ def repeated_phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         begins = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])) if len(at) else np.zeros(0, int)
         return pa.table({"h1": h1[begins], "h2": h2[begins], "found": packed(at, np.append(begins, len(at)))})
 
-    sent = texts.mapInArrow(send, "bucket int, kind int, symbols binary, h1 binary, h2 binary, at binary")
+    sent = texts.mapInArrow(releasing(send), "bucket int, kind int, symbols binary, h1 binary, h2 binary, at binary")
     return sent.groupBy("bucket").applyInArrow(meet, "h1 long, h2 long, found binary")
 
 
@@ -271,7 +271,7 @@ def repeated_windows(marked: DataFrame, length: int, buckets: int) -> DataFrame:
         begin = np.concatenate([place[begins], start[done]])
         return pa.table({"h1": h1[of], "h2": h2[of], "begin": begin, "end": begin + np.concatenate([sizes, size[done]])})
 
-    sent = marked.mapInArrow(send, "bucket int, kind int, h1 binary, h2 binary, start binary, count binary, hashes binary")
+    sent = marked.mapInArrow(releasing(send), "bucket int, kind int, h1 binary, h2 binary, start binary, count binary, hashes binary")
     return sent.groupBy("bucket").applyInArrow(meet, "h1 long, h2 long, begin long, end long")
 
 
@@ -326,5 +326,5 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", keep:
                     spans.append([{"begin": a, "end": b} for a, b in cut.tolist()])
                 yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("n_bytes"), pa.array(spans, kind), pa.array(kept, pa.binary())], names=schema.names)
 
-    done = placed.mapInArrow(run, schema)
+    done = placed.mapInArrow(releasing(run), schema)
     return done.select(*[F.col("_row").getField(c).alias(c) for c in kept], "n_bytes", "removed", "kept")
