@@ -141,7 +141,7 @@ def moved_entries(entries: np.ndarray, sums: np.ndarray, counts: np.ndarray) ->
     return np.where(counts[:, :, None] > 0, means, entries)
 
 
-STATE = "width int, ints binary, near binary, low binary, outer binary, lane int, sums binary"
+STATE = "listed int, bytes int, ints binary, near binary, low binary, outer binary, lane int, sums binary"
 
 
 @dataclass(frozen=True)
@@ -239,25 +239,25 @@ def encode_vectors(
     size, k = parts * width, len(firsts)
     book = integers(pa.array([list(r["vector"]) for r in firsts], pa.list_(pa.float64())), size, scale).reshape(k, parts, width).transpose(1, 0, 2).copy()
     shape = (parts, k, width)
-    most = min(k, max(LEAST, entries // 4))
+    first_size, most = (min(k, max(LEAST, entries // part)) for part in (8, 4))
 
-    def assigned(ints: np.ndarray, before: list[Lists] | None, moves: np.ndarray | None, book: np.ndarray) -> Iterator[tuple[int, Lists, np.ndarray, np.ndarray | None]]:
+    def assigned(ints: np.ndarray, before: list[Lists] | None, moves: np.ndarray | None, book: np.ndarray, b: int = first_size) -> Iterator[tuple[int, Lists, np.ndarray, np.ndarray | None]]:
         for p in range(parts):
             points = ints[:, p * width : (p + 1) * width]
             if before is None:
-                yield p, *full_lists(points, book[p], most), None
+                yield p, *full_lists(points, book[p], b), None
             else:
                 yield p, *moved_lists(points, book[p], moves[p], before[p])
 
     def stored(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[Lists]]]:
-        """Rows of one list length at a time."""
-        lengths = batch.column("width").to_numpy()
-        for b in np.unique(lengths).tolist():
-            part = batch.take(pa.array(np.flatnonzero(lengths == b)))
+        """Rows of one list length and size of integers at a time."""
+        listed, wide = batch.column("listed").to_numpy(), batch.column("bytes").to_numpy()
+        for b, n_bytes in sorted(set(zip(listed.tolist(), wide.tolist()))):
+            part = batch.take(pa.array(np.flatnonzero((listed == b) & (wide == n_bytes))))
             near = _matrix(part.column("near"), np.uint8).reshape(-1, parts, b)
             low = _matrix(part.column("low"), np.float16).reshape(-1, parts, b)
             outer = _matrix(part.column("outer"), np.float16)
-            yield part, _matrix(part.column("ints"), np.int32).astype(np.int64), [Lists(near[:, p], low[:, p], outer[:, p]) for p in range(parts)]
+            yield part, _matrix(part.column("ints"), f"<i{n_bytes}").astype(np.int64), [Lists(near[:, p], low[:, p], outer[:, p]) for p in range(parts)]
 
     def blocks(batches: Iterator[pa.RecordBatch], first: bool) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[Lists] | None]]:
         for batch in batches:
@@ -282,13 +282,15 @@ def encode_vectors(
                 if not first:
                     b, anew = adapted(np.concatenate(needed), b, most)
                     if anew:
-                        lists = [found for _, found, _, _ in assigned(ints, None, None, book)]
+                        lists = [found for _, found, _, _ in assigned(ints, None, None, book, most)]
                     lists = [shortened(x, b) for x in lists]
                 n = part.num_rows
+                n_bytes = 2 if np.abs(ints).max() < 1 << 15 else 4
                 columns = [
                     *(part.column(c) for c in kept_names),
                     pa.array(np.full(n, b, np.int32)),
-                    _binary(ints.astype(np.int32)),
+                    pa.array(np.full(n, n_bytes, np.int32)),
+                    _binary(ints.astype(f"<i{n_bytes}")),
                     _binary(np.stack([x.near for x in lists], 1)),
                     _binary(np.stack([x.low for x in lists], 1)),
                     _binary(np.stack([x.outer for x in lists], 1)),
