@@ -101,13 +101,16 @@ class KeyedState:
             self._check_replay(rows, batch_id)
             return
         before = Content.of(last["content"]) if last else Content()
-        seen, kept = Observation(), Observation()
+        seen = Observation()
         newest = latest_per_key(rows.observe(seen, *batch_counts(rows, self.position)), self.key, list(self.order))
-        tail = self._fresh("tail")
-        newest = newest.withColumn(BATCH, F.lit(batch_id).cast("long")).observe(kept, F.count(F.lit(1)).alias("n"))
-        newest.write.parquet(tail)
-        grown = Content(before.base, before.base_rows, (*before.tails, tail), before.tail_rows + kept.get.get("n", 0))
-        self.ledger.commit(spark, batch_id, seen.get, self._tidied(spark, rows.schema, grown).text())
+        newest = newest.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        if before.base:
+            tail, n = self._written(newest, "tail")
+            grown = Content(before.base, before.base_rows, (*before.tails, tail), before.tail_rows + n)
+            content = self._tidied(spark, rows.schema, grown)
+        else:
+            content = Content(*self._written(newest, "base"))
+        self.ledger.commit(spark, batch_id, seen.get, content.text())
 
     def current(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """One row per key, of the schema of the written rows; none before the first batch."""
@@ -121,8 +124,15 @@ class KeyedState:
         if known and (known["n_rows"], known["digest"]) != (again["n_rows"], again["digest"]):
             raise ValueError(f"batch {batch_id} was committed with other rows; a new checkpoint needs a new state")
 
-    def _fresh(self, label: str) -> str:
-        return f"{self.path}/{label}-{uuid.uuid4().hex}"
+    def _written(self, frame: DataFrame, label: str) -> tuple[str, int]:
+        """Write a tail, or a base in its buckets, to a fresh folder; the folder and how many rows it has."""
+        path, seen = f"{self.path}/{label}-{uuid.uuid4().hex}", Observation()
+        counted = frame.observe(seen, F.count(F.lit(1)).alias("n"))
+        if label == "base":
+            write_bucketed(counted, path, [self.key], self.buckets)
+        else:
+            counted.write.parquet(path)
+        return path, seen.get.get("n", 0)
 
     def _whole(self, schema: T.StructType) -> T.StructType:
         return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
@@ -160,19 +170,12 @@ class KeyedState:
     def _tidied(self, spark: SparkSession, schema: T.StructType, content: Content) -> Content:
         """The same state with few tails."""
         if content.tail_rows > FOLD_SHARE * content.base_rows:
-            base = self._fresh("base")
-            write_bucketed(self._rows(spark, schema, content), base, [self.key], self.buckets)
-            return Content(base, self._count(spark, base))
+            return Content(*self._written(self._rows(spark, schema, content), "base"))
         if len(content.tails) > MOST_TAILS:
-            tail = self._fresh("tail")
-            self._tail(spark, schema, content).write.parquet(tail)
-            return Content(content.base, content.base_rows, (tail,), self._count(spark, tail))
+            tail, n = self._written(self._tail(spark, schema, content), "tail")
+            return Content(content.base, content.base_rows, (tail,), n)
         return content
 
-    @staticmethod
-    def _count(spark: SparkSession, path: str) -> int:
-        return spark.read.schema(f"{BATCH} long").parquet(path).count()
-
 
 def _field(row: Column, name: str) -> Column:
     return row.getField(name).alias(name)
