@@ -34,6 +34,7 @@ _BYTE_VALUES = _SEED.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = int(0x9E3779B97F4A7C15)
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+_weights = np.zeros(0, np.uint64)
 
 
 def powers(base: int, size: int) -> np.ndarray:
@@ -58,6 +59,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def place_weights(size: int) -> np.ndarray:
+    """An odd pseudo-random number for each place in a span; kept between calls."""
+    global _weights
+    known = _weights
+    if len(known) < size:
+        known = mix(np.arange(1, max(size, 1 << 16) + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
+        if len(known) <= 4 * HASH_BYTES:
+            _weights = known
+    return known
+
+
 def release_memory() -> None:
     """Give memory that a worker holds for later back to the machine: the next task may be another's."""
     pa.default_memory_pool().release_unused()
@@ -135,9 +147,9 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tu
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, prefixes: tuple[int, ...] = ()) -> list[np.ndarray]:
     """A 64-bit hash of every span, and of its first bytes for each length in ``prefixes``.
 
-    The hash is a polynomial, whose running sums all spans of a stretch share.
-    Spans come in order and do not overlap; a prefix longer than its span is
-    the span.
+    Each byte counts with a weight of its place in the span, so no regular text
+    can make sums agree, and all spans of a stretch share running sums.  Spans
+    come in order and do not overlap; a prefix longer than its span is the span.
     """
     out = [np.empty(len(starts), np.uint64) for _ in range(1 + len(prefixes))]
     first = 0
@@ -147,11 +159,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, prefixes
         s, e = starts[first:last] - base, ends[first:last] - base
         size = int(e[-1])
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[data[base : base + size]] * powers(_BASE, size)[:size], out=sums[1:])
-        back = powers(_BASE_INVERSE, size)[s]
+        place = np.arange(size, dtype=np.int32) - np.repeat(s.astype(np.int32), np.diff(np.append(s, size)))
+        np.cumsum(_BYTE_VALUES[data[base : base + size]] * place_weights(size)[place], out=sums[1:])
         for k, length in enumerate((None, *prefixes)):
             to = e if length is None else np.minimum(s + length, e)
-            out[k][first:last] = mix((sums[to] - sums[s]) * back + (to - s).astype(np.uint64))
+            out[k][first:last] = mix(sums[to] - sums[s] + (to - s).astype(np.uint64))
         first = last
     return out
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from .arrays import ALNUM, byte_view, lowered, releasing, slices, word_bounds, word_hashes
+from .arrays import ALNUM, byte_view, lowered, mix, releasing, slices, word_bounds, word_hashes
 
 BLOCK_BYTES = 2 << 20  # of test items that are broadcast at once
 
@@ -101,6 +101,11 @@ class Shard:
                 break
         return starts[starts >= 0]
 
+    def within_documents(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The spans that end in the document they begin in."""
+        good = ends <= self.first[np.searchsorted(self.first, starts, "right")] if len(starts) else np.zeros(0, bool)
+        return starts[good], ends[good]
+
     def near(self, terms: np.ndarray, counts: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the phrase with at most ``slop`` other words in between."""
         reach = len(terms) + slop
@@ -119,15 +124,43 @@ class Shard:
         return starts[good], last[good] + 1
 
 
-def test_windows(hashes: np.ndarray, first: np.ndarray, width: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each length: the windows (rows of hashes) and the number of the item each is from."""
+def test_windows(hashes: np.ndarray, first: np.ndarray, width: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length: the different windows (rows of hashes), the items all together, and where those of each window begin."""
     found: dict[int, list] = {}
     for item, (a, b) in enumerate(zip(first[:-1], first[1:])):
         if b > a:
             n = min(width, int(b - a))
             windows = np.lib.stride_tricks.sliding_window_view(hashes[a:b], n)
             found.setdefault(n, []).append((windows, np.full(len(windows), item)))
-    return {n: (np.concatenate([w for w, _ in x]), np.concatenate([i for _, i in x])) for n, x in found.items()}
+    return {n: different_windows(np.concatenate([w for w, _ in x]), np.concatenate([i for _, i in x])) for n, x in found.items()}
+
+
+def different_windows(windows: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal windows made one.  Their order is by a hash, their equality by all words."""
+    order = np.lexsort((items, window_keys(windows)))
+    windows, items = windows[order], items[order]
+    new = np.append(True, (windows[1:] != windows[:-1]).any(axis=1))
+    other = new | np.append(True, items[1:] != items[:-1])  # an item is listed once for each window
+    return windows[new], items[other], np.append(np.flatnonzero(new[other]), other.sum())
+
+
+def window_keys(windows: np.ndarray) -> np.ndarray:
+    keys = np.zeros(len(windows), np.uint64)
+    for column in windows.T:
+        keys = mix(keys * np.uint64(31) + column)
+    return keys
+
+
+def runs_of(starts: np.ndarray, ends: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping spans of the same ``of`` made one."""
+    if not len(starts):
+        return starts, ends, of
+    order = np.lexsort((starts, of))
+    starts, ends, of = starts[order].astype(np.int64), ends[order].astype(np.int64), of[order]
+    base = of * (int(ends.max()) + 1)  # brings each group beyond the one before
+    reach = np.maximum.accumulate(ends + base)
+    begins = np.flatnonzero(np.append(True, starts[1:] + base[1:] >= reach[:-1]))
+    return starts[begins], (reach - base)[np.append(begins[1:], len(starts)) - 1], of[begins]
 
 
 def _collect_block(items: DataFrame) -> tuple[list, np.ndarray, np.ndarray]:
@@ -150,8 +183,8 @@ def _collect_block(items: DataFrame) -> tuple[list, np.ndarray, np.ndarray]:
 def find_passages(index: DataFrame, items: DataFrame, width: int = 10, slop: int = 0, item: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per indexed document: ``doc_key``, ``n_words``, ``n_hit``, ``items`` and ``matches``.
 
-    ``matches`` has a struct (item, first word, end) per occurrence of a window; ``n_hit``
-    counts the words inside any of them.
+    ``matches`` has a struct (item, first word, end) per run of overlapping occurrences of
+    an item's windows, so a text that repeats itself has few; ``n_hit`` counts the words inside any of them.
     """
     spark = index.sparkSession
     source = items.select(F.col(item).alias("_item"), F.col(text).alias("_text"))
@@ -174,36 +207,39 @@ def find_passages(index: DataFrame, items: DataFrame, width: int = 10, slop: int
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, hashes, first = held.value
+            names = pa.array(names, arrow_item)
             windows = test_windows(hashes, first, width)
             for batch in batches:
                 for row in range(batch.num_rows):
                     one = batch.slice(row, 1)
                     shard = Shard(*(one.column(c)[0].as_py() for c in ("first_words", "terms", "begins", "positions")))
                     starts, ends, of = [], [], []
-                    for n, (table, item_of) in windows.items():
+                    for n, (table, item_of, at) in windows.items():
                         terms, counts = shard.look_up(table)
                         for k in np.flatnonzero(counts.min(axis=1) > 0):
                             a, b = (shard.phrase(terms[k], counts[k]), None) if not slop else shard.near(terms[k], counts[k], slop)
-                            if len(a):
-                                starts.append(a)
-                                ends.append(a + n if b is None else b)
-                                of.append(np.full(len(a), item_of[k]))
+                            a, b = shard.within_documents(a, a + n if b is None else b)
+                            a, b, _ = runs_of(a, b, np.zeros(len(a), np.int64))
+                            named = item_of[at[k] : at[k + 1]] if len(a) else item_of[:0]
+                            starts.append(np.tile(a, len(named)))
+                            ends.append(np.tile(b, len(named)))
+                            of.append(np.repeat(named, len(a)))
                     yield _rows(one, shard, starts, ends, of, names)
 
         def _rows(one, shard, starts, ends, of, names) -> pa.RecordBatch:
             keys = one.column("doc_keys").flatten()
             begin = shard.first[:-1].astype(np.int64)
-            lists: list = [[] for _ in range(len(keys))]
-            if starts:
-                s, e, i = np.concatenate(starts), np.concatenate(ends), np.concatenate(of)
-                doc = np.searchsorted(shard.first, s, "right") - 1
-                good = e <= shard.first[doc + 1]
-                for d, a, b, k in sorted(zip(doc[good].tolist(), s[good].tolist(), e[good].tolist(), i[good].tolist())):
-                    lists[d].append({"item": names[k], "first": a - int(begin[d]), "end": b - int(begin[d])})
+            none = np.zeros(0, np.int64)
+            s, e, i = runs_of(*(np.concatenate([none, *x]) for x in (starts, ends, of)))
+            order = np.lexsort((i, e, s))
+            s, e, i = s[order], e[order], i[order]
+            doc = np.searchsorted(shard.first, s, "right") - 1
+            spans = [names.take(pa.array(i)), pa.array((s - begin[doc]).astype(np.int32)), pa.array((e - begin[doc]).astype(np.int32))]
+            at = np.searchsorted(doc, np.arange(len(keys) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays(spans, ["item", "first", "end"]))
             place = one.column("_shard")[0].as_py() if blocks > 1 else ""
             places = pa.array([f"{place}/{k}" if blocks > 1 else None for k in range(len(keys))], pa.string())
-            kind = pa.list_(pa.struct([("item", arrow_item), ("first", pa.int32()), ("end", pa.int32())]))
-            return pa.RecordBatch.from_arrays([places, keys, pa.array(np.diff(shard.first).astype(np.int64)), pa.array(lists, kind)], names=["_place", "doc_key", "n_words", "matches"])
+            return pa.RecordBatch.from_arrays([places, keys, pa.array(np.diff(shard.first).astype(np.int64)), lists], names=["_place", "doc_key", "n_words", "matches"])
 
         from pyspark.sql.pandas.types import to_arrow_type
 
@@ -225,7 +261,7 @@ def _covered(found: DataFrame) -> DataFrame:
     Matches sorted by their first word are folded: each adds what lies beyond
     the furthest end so far.
     """
-    spans = F.expr("array_sort(array_distinct(transform(matches, m -> struct(m.first AS a, m.end AS b))))")
+    spans = F.expr("array_sort(transform(matches, m -> struct(m.first AS a, m.end AS b)))")
     hit = F.aggregate(
         spans,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("reached")),

@@ -20,7 +20,9 @@ hide their tags, so that pages without such markup are judged by the other
 features.  Extraction reads every page whole.
 
 Null and empty html give an empty text.  Unclosed and stray tags are closed or
-ignored; the end of the page closes what is open.  Without nodes to train on,
+ignored; the end of the page closes what is open.  A button, select, svg,
+noscript or template is left out up to its end tag, to the end of the block
+around it or, without an end tag, to the next block.  Without nodes to train on,
 or with one kind only, the labelling by markup is used as it is.
 """
 
@@ -44,7 +46,10 @@ NODES = 400
 TREES, TREE_DEPTH, RATE, BINS = 40, 3, 0.3, 32
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select button xmp noembed noframes head".split())
+#: What is inside is no markup.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Elements left out with all they hold.
+LEFT_OUT = frozenset("head noscript template svg select button".split())
 BLOCKS = frozenset(
     "html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption pre blockquote section article main nav header footer "
     "aside form fieldset figure figcaption address details summary dialog menu center hgroup search".split()
@@ -77,8 +82,9 @@ ATTRIBUTE_WORDS = [
     frozenset("cookie cookies notice notices consent gdpr popup modal overlay alert newsletter subscribe signup login share social form search paywall".split()),
 ]
 AGAINST_GROUPS = (1, 3, 4, 5)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+#: A tag ends at > or, unclosed, before the next < outside of quotes, so a stray < costs no scan of the page.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)(>|(?=<))", re.S)
+END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW | LEFT_OUT}
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -97,6 +103,45 @@ class Node:
     links: int = 0
 
 
+@dataclass
+class LeftOut:
+    """An open element that is left out.  A loose one, the head or one without an end tag, ends at the next block."""
+
+    tag: str
+    loose: bool
+    same: int = 1
+    blocks: dict[str, int] = field(default_factory=dict)  # open blocks inside
+
+
+def _still_left_out(out: list[LeftOut], tag: str, closing: bool, attributes: str, open_outside: bool) -> bool:
+    """Whether a tag is part of what is left out.  Ends the elements that end with it."""
+    last = out[-1]
+    if not closing:
+        if tag in BLOCKS and tag != "html":
+            while out and out[-1].loose:
+                out.pop()
+            if not out:
+                return False
+            inside = out[-1].blocks
+            inside[tag] = inside.get(tag, 0) + 1
+        elif tag == last.tag and not attributes.endswith("/") and tag not in ("button", "select", "head"):
+            last.same += 1
+        return True
+    for k in range(len(out) - 1, -1, -1):
+        if out[k].tag == tag:
+            out[k].same -= 1
+            del out[k + (out[k].same > 0) :]
+            return True
+    for one in reversed(out):
+        if one.blocks.get(tag):
+            one.blocks[tag] -= 1
+            return True
+    if open_outside:  # the block around ends, and so does what is left out in it
+        out.clear()
+        return False
+    return True
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Nodes in page order, parents first, and the blocks of text with their nodes."""
     nodes = [Node("html", -1, 0, (False,) * len(ATTRIBUTE_WORDS), 0)]
@@ -104,6 +149,15 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     open_ = [0]
     pending: list[str] = []
     in_link = 0
+    out: list[LeftOut] = []  # open elements that are left out
+    next_end: dict[str, int] = {}
+
+    def end_of(tag: str, at: int) -> int:
+        """Where the next end tag begins, or the end of the page; each stretch is searched once."""
+        if next_end.get(tag, -1) < at:
+            found = END[tag].search(page, at)
+            next_end[tag] = found.start() if found else len(page)
+        return next_end[tag]
 
     def flush() -> None:
         if pending:
@@ -118,6 +172,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         del open_[depth:]
 
     def add(raw: str) -> None:
+        if out:
+            return
         pending.append(raw)
         if in_link:
             nodes[open_[-1]].links += len(raw.strip())
@@ -130,6 +186,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if not m[4] and "=" not in m[3]:  # a < of the text
+            add(m[0])
+            continue
+        if out and _still_left_out(out, tag, bool(m[1]), m[3], tag in BLOCKS and any(nodes[k].tag == tag for k in open_[1:])):
+            if tag in RAW and not m[1] and not m[3].endswith("/"):
+                at = end_of(tag, at)
+            continue
         if m[1]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
@@ -143,13 +206,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         nodes[open_[-1]].elements += 1
         if tag in RAW:
             if not m[3].endswith("/"):
-                end = RAW_END[tag].search(page, at)
-                if tag == "head":  # ends at the body at the latest
-                    body = re.compile(r"<body\b", re.I).search(page, at)
-                    stop = min((x for x in (end and end.end(), body and body.start()) if x), default=at)
-                    at = stop
-                else:
-                    at = end.end() if end else len(page)
+                at = end_of(tag, at)
+            continue
+        if tag in LEFT_OUT:
+            if not m[3].endswith("/"):
+                out.append(LeftOut(tag, tag == "head" or end_of(tag, at) == len(page)))
             continue
         if tag in VOID:
             if tag in ("br", "hr"):

@@ -35,12 +35,13 @@ share a component; a null id never names one unless all its members are null.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,12 +87,16 @@ def nodes_of(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(size > 0, mix(sums[at[1:]] - sums[at[:-1]] + size) >> np.uint64(1), np.uint64(0))
 
 
-def size_bands(percent: int, largest: int) -> np.ndarray:
-    """The smallest size of each band: the next one begins beyond what the smallest member can be linked to."""
-    edges = [1]
-    while edges[-1] <= largest:
-        edges.append(edges[-1] * 100 // percent + 1)
-    return np.array(edges, np.int64)
+def band_of(size: Column, percent: int) -> Column:
+    """The band of a size: the number of factors 100 / percent in it, rounded down.
+
+    Linked sizes differ by one such factor at most, so they are in the same
+    or in neighbouring bands, however the logarithm is rounded: a hair is added
+    where two sizes may differ by exactly the factor.  For 100 percent a size is a band of its own.
+    """
+    if percent == 100:
+        return (2 * size).cast("long")  # no neighbours
+    return F.floor(F.log(size.cast("double")) / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("long")
 
 
 def rank_of(count: np.ndarray) -> np.ndarray:
@@ -258,23 +263,31 @@ class Tile:
         self.nodes, self.side, self.percent = nodes[order], side[order], percent
         self.sets = [grams[at[k] : at[k + 1]] for k in order.tolist()]
         self.size = np.diff(at)[order]
-        width = 64
-        while width < 4 * int(self.size.max(initial=1)):
-            width *= 2
-        self.bits = np.zeros((len(order), width // 64), np.uint64)
-        for k, values in enumerate(self.sets):
-            bit = values & np.uint64(width - 1)
-            np.bitwise_or.at(self.bits[k], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+        self.last = np.searchsorted(self.size, self.size * 100 // percent, "right")
+
+    def bitmaps(self) -> Iterator[tuple[range, np.ndarray]]:
+        """Stretches of sets of similar size, with the bitmaps of them and of the larger sets they may be linked to.
+
+        The width follows the sizes of the stretch, so all bitmaps take a few bits per n-gram.
+        """
+        widths = 64 << np.ceil(np.log2(np.maximum(self.size, 16) / 16)).astype(np.int64)
+        begins = np.unique(widths, return_index=True)[1].tolist()
+        for first, stop in zip(begins, [*begins[1:], len(widths)]):
+            width = int(widths[first])
+            bits = np.zeros((int(self.last[stop - 1]) - first, width // 64), np.uint64)
+            for row, values in zip(bits, self.sets[first:]):
+                bit = values & np.uint64(width - 1)
+                np.bitwise_or.at(row, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+            yield range(first, stop), bits
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """A spanning forest of the links."""
         label = np.arange(len(self.nodes))
         both = bool(self.side.any())
         found_a, found_b = [], []
-        last = np.searchsorted(self.size, self.size * 100 // self.percent, "right")
-        for k in range(len(self.nodes)):
+        for k, base, bits in ((k, stretch[0], bits) for stretch, bits in self.bitmaps() for k in stretch):
             mine = int(self.size[k])
-            others = slice(k + 1, int(last[k]))
+            others = slice(k + 1, int(self.last[k]))
             open_ = label[others] != label[k]
             if both:
                 open_ &= self.side[others] != self.side[k]
@@ -282,7 +295,7 @@ class Tile:
             if not len(near):
                 continue
             total = self.size[near] + mine
-            differing = np.bitwise_count(self.bits[near] ^ self.bits[k]).sum(axis=1, dtype=np.int64)
+            differing = np.bitwise_count(bits[near - base] ^ bits[k - base]).sum(axis=1, dtype=np.int64)
             # overlap <= (total - differing) / 2, and union = total - overlap
             overlap = (total - differing) // 2
             for j in near[100 * overlap >= self.percent * (total - overlap)].tolist():
@@ -302,9 +315,7 @@ def compared(
     """Links between different sets of a block.  ``sets``: node, n_shingles, _text."""
     # Spark takes the sets for as small as their catalogue, so the join is named.
     members = sets.hint("merge").join(blocks, "node").select("node", "n_shingles", "_text", F.col("root").alias("block"))
-    # The lower edge of every band, as in size_bands, found from the size by a bounded search.
-    edges = F.array(*[F.lit(int(e)) for e in size_bands(percent, 1 << 40)])
-    members = members.withColumn("band", F.size(F.filter(edges, lambda e: e <= F.col("n_shingles"))))
+    members = members.withColumn("band", band_of(F.col("n_shingles"), percent))
     path = fresh_path(sets.sparkSession, "block-members")
     members.write.parquet(path)
     members = sets.sparkSession.read.parquet(path)

@@ -50,8 +50,11 @@ SLICE = 2 << 20
 POSITION_BITS = 21
 
 
+HASHED_TOGETHER = 256  # a polynomial over more bytes modulo 2^64 has collisions in regular texts
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray | int) -> np.ndarray:
-    """A 64-bit hash of the bytes of every range; starts ascend."""
+    """A 64-bit hash of the bytes of every range, chained over short pieces; starts ascend."""
     out = np.empty(len(starts), np.uint64)
     sizes = np.broadcast_to(sizes, len(starts))
     first = 0
@@ -63,7 +66,19 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray | int)
         size = int(e.max())
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data[base : base + size]] * powers(_BASE, size)[:size], out=sums[1:])
-        out[first:last] = mix((sums[e] - sums[s]) * powers(_BASE_INVERSE, size)[s] + (e - s).astype(np.uint64))
+        back = powers(_BASE_INVERSE, size)
+        made = (e - s).astype(np.uint64)
+        open_ = slice(None)
+        while len(s):
+            to = np.minimum(s + HASHED_TOGETHER, e)
+            made[open_] = mix(made[open_] * np.uint64(_BASE) + (sums[to] - sums[s]) * back[np.minimum(s, size - 1)])
+            more = to < e
+            if not more.any():
+                break
+            if not more.all():
+                open_ = np.arange(len(made))[open_][more]
+            s, e = to[more], e[more]
+        out[first:last] = made
         first = last
     return out
 

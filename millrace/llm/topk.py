@@ -128,6 +128,12 @@ def build_index(base: DataFrame, held: Pivots, width: int, cell: int) -> DataFra
     return placed.join(parts, ["pivot", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
 
 
+def _by_score(found: tuple) -> tuple:
+    """Higher scores first, ties by id, a null id before the others."""
+    score, name = found
+    return score, name is not None, 0 if name is None else name
+
+
 def top_k(vectors: DataFrame, is_query: str, k: int = 5, scale: float = 256.0, key: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS, cell: int = CELL) -> DataFrame:
     """``query_id``, ``rank``, ``<key>`` and ``score`` for the rows that fulfil the SQL condition ``is_query`` on ``id``."""
     spark = vectors.sparkSession
@@ -169,7 +175,7 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 5, scale: float = 256.0, k
                     if len(good) > k:
                         edge = np.partition(line[good], len(good) - k)[len(good) - k]
                         good = good[line[good] >= edge]
-                    ranked = sorted(zip((-line[good]).tolist(), ids[good].tolist()))[:k]
+                    ranked = sorted(zip((-line[good]).tolist(), ids[good].tolist()), key=_by_score)[:k]
                     asker += [me] * len(ranked)
                     found += [x for _, x in ranked]
                     score += [int(-s) for s, _ in ranked]
