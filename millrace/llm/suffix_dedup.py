@@ -14,11 +14,13 @@ merged by refining an interleave: it begins as one shard after the other, and
 each round distributes the entries of every block stably by their next symbol,
 until the depth is reached.  The round in which two neighbours part is their
 longest common prefix, and a stretch of common prefixes of at least one phrase
-is a repeated interval.  No suffix of the whole is sorted anew.
+is a repeated interval.  Each round sorts the next symbols of all entries
+within their blocks; blocks are phrases, and one common phrase makes a
+repeated interval, so the first round finds the intervals.
 
 **Bytes.**  Interval boundaries lie at phrases, the result at bytes.  So the
 windows of ``length`` bytes whose first anchor is in a repeated interval are
-compared exactly, by 64-bit hash; equal windows have the same symbol and the
+compared by 64-bit hash, which decides; equal windows have the same symbol and the
 same distance to its anchor, and meet by these two.  A window found at two
 places of one shard is settled there, and only its first place is sent on, so
 a passage in a third of all texts does not fill one task.
@@ -50,6 +52,7 @@ SLICE = 2 << 20
 POSITION_BITS = 21
 
 
+STRETCH = 1 << 18  # starts hashed at once
 HASHED_TOGETHER = 256  # a polynomial over more bytes modulo 2^64 has collisions in regular texts
 
 
@@ -60,7 +63,7 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray | int)
     first = 0
     while first < len(starts):
         base = int(starts[first])
-        last = max(first + 1, int(np.searchsorted(starts, base + HASH_BYTES)))
+        last = max(first + 1, int(np.searchsorted(starts, base + STRETCH)))
         s = starts[first:last] - base
         e = s + sizes[first:last]
         size = int(e.max())
