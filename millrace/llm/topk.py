@@ -19,7 +19,7 @@ while below 2^53.
 
 Components are floor(scale * x).  Vectors that are null or hold null or
 non-finite components take no part; shorter vectors count as filled up with
-zeros.  Ties go to the smaller id.  Rows with the query's id are not its
+zeros.  Ties go to the smaller id, a null id before all.  Rows with the query's id are not its
 candidates; other repeated rows are.  With fewer candidates than k all are
 returned; an empty table gives no row.
 """
