@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from .arrays import slices
+from .arrays import NOT_SPACE, byte_view, releasing, slices, word_bounds
 from .pieces import WordIds, piece_ids
 from .shared_files import attempt_name, file_system
 
 SLICE = 1 << 20  # bytes of text encoded at once
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 1 << 20
 FRAME_IDS = 1 << 16  # ids in a frame, unless one document has more
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -54,15 +54,12 @@ class WordCoder:
     def __init__(self, path: str):
         self.pieces = piece_ids(path, WORDS_KEPT, WordIds)
 
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text followed by ``end``; where each text begins."""
-        words: list[bytes] = []
-        stops = [0]
-        for text in texts:
-            words += text.split()
-            stops.append(len(words))
-        ids, ends = self.pieces.gather(self.pieces.numbers(words))
-        at = ends[stops]
+        data, offsets = byte_view(texts)
+        starts, ends, first = word_bounds(data, offsets, NOT_SPACE)
+        ids, begins = self.pieces.ids(data, starts, ends)
+        at = begins[first]
         return np.insert(ids, at[1:], np.uint32(end)), at + np.arange(len(at))
 
 
@@ -146,8 +143,7 @@ def write_token_files(docs: DataFrame, path: str, end: int, folder: str | None =
                     system.create_dir(root, recursive=True)
                     sink = system.open_output_stream(f"{root}/{name}", compression=None)
                     writer = FrameWriter(sink)
-                texts = part.column("_text").fill_null("").cast(pa.binary()).to_pylist()
-                ids, at = coder.encode(texts, end)
+                ids, at = coder.encode(part.column("_text"), end)
                 for a, b in zip(at.tolist(), at[1:].tolist()):
                     waiting.append(ids[a:b])
                     held += b - a
@@ -163,7 +159,7 @@ def write_token_files(docs: DataFrame, path: str, end: int, folder: str | None =
             writer.close()
             sink.close()
 
-    catalogue = ranged.mapInArrow(run, CATALOGUE.format(key=dict(source.dtypes)["doc_key"]))
+    catalogue = ranged.mapInArrow(releasing(run), CATALOGUE.format(key=dict(source.dtypes)["doc_key"]))
     catalogue.write.parquet(f"{folder}/catalogue")
     return spark.read.parquet(f"{folder}/catalogue").withColumn("folder", F.lit(folder))
 
