@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
@@ -33,6 +33,7 @@ from .arrays import slices
 from .shared_files import attempt_name, file_system
 
 LEAST = 100
+MOST_FREQUENT = 1000  # payloads looked up by broadcast, at most
 CHUNK = 1 << 20
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -101,13 +102,29 @@ def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def with_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST) -> DataFrame:
-    """Pages with payload, digest, record type and the response that each revisit refers to."""
+    """Pages with payload, digest, size and the response that a revisit refers to.
+
+    Only payloads that occur again are looked up.  Those with a thousandth of
+    all rows or more, so at most a thousand of them, are broadcast; the rows of
+    the others meet by digest.  All remaining rows, short payloads included,
+    are spread evenly.
+    """
     rows = pages.select(F.col(key).alias("_key"), F.coalesce(F.col(url), F.lit("")).alias("_url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("_payload"))
     rows = rows.withColumns({"digest": F.sha2("_payload", 256), "size": F.octet_length("_payload").cast("long")})
-    first = rows.where(F.col("size") >= least).groupBy("digest").agg(F.min("_key").alias("first"))
-    rows = rows.join(first, "digest", "left")
-    revisit = (F.col("size") >= least) & ~F.col("_key").eqNullSafe(F.col("first"))
-    return rows.select("_key", "_url", "_payload", "digest", "size", F.when(revisit, F.col("first").cast("string")).alias("refers"))
+    copies = rows.where(F.col("size") >= least).groupBy("digest").agg(F.min("_key").alias("_first"), F.count("*").alias("_copies")).where("_copies > 1")
+    frequent = F.col("_copies") * MOST_FREQUENT >= pages.count()
+    hot = copies.where(frequent).select("digest", F.col("_first").alias("_hot"))
+    rare = copies.where(~frequent).select(F.col("digest").alias("_place"), F.col("_first").alias("_rare"))
+
+    def revisits(first: str) -> Column:
+        return F.col(first).isNotNull() & ~F.col("_key").eqNullSafe(F.col(first))
+
+    rows = rows.join(F.broadcast(hot), "digest", "left")
+    rows = rows.withColumn("_payload", F.when(revisits("_hot"), F.lit(b"")).otherwise(F.col("_payload")))
+    spread = F.concat(F.lit("-"), F.xxhash64("_key", "_url", F.spark_partition_id()).cast("string"))
+    place = F.when(F.col("_hot").isNull() & (F.col("size") >= least), F.col("digest")).otherwise(spread)
+    rows = rows.withColumn("_place", place).join(rare, "_place", "left").withColumn("_first", F.coalesce("_hot", "_rare"))
+    return rows.select("_key", "_url", "_payload", "digest", "size", F.when(revisits("_first"), F.col("_first").cast("string")).alias("refers"))
 
 
 def write_streams(rows: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
