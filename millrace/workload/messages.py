@@ -191,32 +191,49 @@ def stream_quarantine(spark, sf_dir):
 
 # --- several micro-batches -----------------------------------------------------
 
-# Fixed value: files, and so batches, that the events are cut into.
+# Fixed value: batches that the events are cut into.
 PARTS = 6
 
+# Rows of a file of a batch, about: a file may be read by one task only.
+ROWS_PER_FILE = 100_000
+
 
 def _cut_events(spark, sf_dir):
-    """The events in one file for each remainder of their id; a stream takes one file a batch."""
+    """A stream of the events, and a function that lets those of one remainder of their id arrive.
+
+    A batch is as many files as its rows need, so that its tasks grow with it;
+    what arrives between two runs of the stream is one batch.
+    """
     events = table(spark, sf_dir, "events")
     path = fresh_path(spark, "cut-events")
-    for part in range(PARTS):  # one after the other: batches follow the age of files
-        events.where(F.pmod("event_id", F.lit(PARTS)) == part).repartition(1).write.mode("append").parquet(path)
-    return table_rows(spark, path, events.schema, maxFilesPerTrigger="1")
+    files = events.count() // (PARTS * ROWS_PER_FILE) + 1
+
+    def arrive(part):
+        events.where(F.pmod("event_id", F.lit(PARTS)) == part).repartition(files).write.mode("append").parquet(path)
+
+    return table_rows(spark, path, events.schema), arrive
+
+
+def _run_batches(stream, arrive, batch, offsets):
+    """A run for each part, and one without new input at the end."""
+    for part in range(PARTS):
+        arrive(part)
+        run_available(stream, batch, offsets)
+    run_available(stream, batch, offsets)
 
 
 def _upsert_batches(spark, sf_dir, arrival):
     """Every batch upserted, the last one twice, and a run without new input at the end."""
-    visits = _visits(_cut_events(spark, sf_dir))
+    events, arrive = _cut_events(spark, sf_dir)
+    visits = _visits(events)
     state = KeyedState(fresh_path(spark, "visit-state"), "custid", KEYS, arrival=arrival, buckets=8, position="event_id")
-    offsets = fresh_path(spark, "offsets")
 
     def batch(rows, batch_id):
         state.write_batch(rows, batch_id)
         if batch_id == PARTS - 1:
             state.write_batch(rows, batch_id)
 
-    run_available(visits, batch, offsets)
-    run_available(visits, batch, offsets)
+    _run_batches(visits, arrive, batch, fresh_path(spark, "offsets"))
     return state, visits.schema
 
 
@@ -268,9 +285,10 @@ def _drifting(events):
 
 
 def _learnt(spark, sf_dir):
-    rows = _drifting(_cut_events(spark, sf_dir).where("event_id is not null and get_json_object(props, '$.k') is not null"))
+    events, arrive = _cut_events(spark, sf_dir)
+    rows = _drifting(events.where("event_id is not null and get_json_object(props, '$.k') is not null"))
     messages = LearntMessages(fresh_path(spark, "learnt"))
-    run_available(rows, messages.write_batch, fresh_path(spark, "offsets"))
+    _run_batches(rows, arrive, messages.write_batch, fresh_path(spark, "offsets"))
     return messages, rows.schema
 
 

@@ -12,6 +12,7 @@ from millrace.streaming.run import append_files, run_available, run_every, split
 from millrace.streaming import upsert
 from millrace.streaming.ledger import BatchLedger, read_written
 from millrace.streaming.upsert import Content, KeyedState, index_batches, latest_per_key
+from millrace.workload import messages
 from test_visits import AS_OF, MESSAGES, message, visitor
 
 NOW = dt.datetime(2024, 6, 30, 7, 45)
@@ -261,3 +262,26 @@ def test_kafka_options():
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka_messages(spark, "a:1", "t")
+
+
+@pytest.fixture
+def cut_events(spark, tmp_path, monkeypatch):
+    """A folder with events whose batches need ten files each; what the queries store is below it."""
+    monkeypatch.setattr(messages, "ROWS_PER_FILE", 10, raising=False)
+    monkeypatch.setattr(messages, "fresh_path", lambda _, label: str(tmp_path / label))
+    kind = "element_at(array('view', 'purchase', 'click', 'error'), cast(id % 4 + 1 as int)) as event_type"
+    ts = "cast(timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id * 7919 % 1000 as int), 0) as timestamp_ntz) as ts"
+    rows = spark.range(600).selectExpr("id as event_id", ts, "id % 50 as user_id", kind, "1.5d as value", "concat('{\"k\": ', 40 + id % 9, '}') as props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    return tmp_path
+
+
+def files_of_batches(folder):
+    return len(list((folder / "cut-events").glob("*.parquet")))
+
+
+def test_upsert_batches_are_read_by_many_tasks(spark, cut_events):
+    state = plain(messages.stream_upsert_batches(spark, str(cut_events)))
+    assert files_of_batches(cut_events) > 5 * messages.PARTS  # one file a batch before: one task parsed all of it
+    visits = messages._visits(spark.read.parquet(str(cut_events / "events.parquet")))
+    assert state == plain(messages._report(latest_per_key(visits, "custid", ["ts", "event_id"])))
