@@ -285,3 +285,18 @@ def test_upsert_batches_are_read_by_many_tasks(spark, cut_events):
     assert files_of_batches(cut_events) > 5 * messages.PARTS  # one file a batch before: one task parsed all of it
     visits = messages._visits(spark.read.parquet(str(cut_events / "events.parquet")))
     assert state == plain(messages._report(latest_per_key(visits, "custid", ["ts", "event_id"])))
+
+
+def test_ledger_knows_batches_of_many_files(spark, cut_events):
+    entries = {r.batch_id: r for r in messages.stream_ledger(spark, str(cut_events)).collect()}
+    assert files_of_batches(cut_events) > 5 * messages.PARTS
+    visits = messages._visits(spark.read.parquet(str(cut_events / "events.parquet")))
+    counts = visits.groupBy((F.col("event_id") % messages.PARTS).alias("part")).count().collect()
+    assert {b: r.n_rows for b, r in entries.items()} == {r.part: r["count"] for r in counts}
+
+
+def test_later_batches_of_many_files_win(spark, cut_events):
+    state = plain(messages.stream_upsert_by_arrival(spark, str(cut_events)))
+    assert files_of_batches(cut_events) > 5 * messages.PARTS
+    visits = messages._visits(spark.read.parquet(str(cut_events / "events.parquet"))).withColumn("part", F.col("event_id") % messages.PARTS)
+    assert state == plain(messages._report(latest_per_key(visits, "custid", ["part", "ts", "event_id"])))
