@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from .arrays import ALNUM, byte_view, lowered, slices, word_bounds, word_hashes
+from .arrays import ALNUM, byte_view, lowered, releasing_group, slices, word_bounds, word_hashes
 from .buckets import bucket_count, packed, split, unpacked
 
 VOCABULARY = 1 << 15
@@ -135,8 +135,8 @@ def learn_vocabulary(source: DataFrame, wanted: DataFrame, blocks: int, size: in
             }
         )
 
-    sent = source.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(count, "bucket int, words binary, t binary, b binary, texts_t long, texts_b long")
-    added = sent.groupBy("bucket").applyInArrow(add, "word long, t long, b long, texts_t long, texts_b long, rest boolean")
+    sent = source.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(releasing_group(count), "bucket int, words binary, t binary, b binary, texts_t long, texts_b long")
+    added = sent.groupBy("bucket").applyInArrow(releasing_group(add), "word long, t long, b long, texts_t long, texts_b long, rest boolean")
     path = fresh_path(source.sparkSession, "words")
     added.write.parquet(path)
     added = source.sparkSession.read.parquet(path)
@@ -193,8 +193,8 @@ def score_difference(docs: DataFrame, target: DataFrame, key: str = "doc_id", te
         begins = np.concatenate([[0], np.cumsum(sizes)])
         return pa.table({"block": table.column("block"), "keys": packed(keys, begins), "t": packed(losses[0], begins), "b": packed(losses[1], begins)})
 
-    asked = source.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(ask, "bucket int, block int, keys binary, t binary, b binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, keys binary, t binary, b binary")
+    asked = source.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(releasing_group(ask), "bucket int, block int, keys binary, t binary, b binary")
+    answered = asked.groupBy("bucket").applyInArrow(releasing_group(answer), "block int, keys binary, t binary, b binary")
 
     key_type = source.schema["_key"].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "difference"))])
@@ -216,4 +216,4 @@ def score_difference(docs: DataFrame, target: DataFrame, key: str = "doc_id", te
 
         return pa.Table.from_batches(out, out[0].schema if out else to_arrow_schema(schema))
 
-    return source.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(score, schema)
+    return source.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(releasing_group(score), schema)

@@ -387,3 +387,36 @@ def test_pipeline(spark):
 
 def test_every_operator_has_a_query():
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
+
+
+def test_groups_release_memory_at_their_end(monkeypatch):
+    """After every group, not when the worker ends; one and two tables stay told apart."""
+    import inspect
+
+    import pyarrow as pa
+
+    from millrace.llm import arrays
+
+    done = []
+    monkeypatch.setattr(arrays, "release_memory", lambda: done.append(True))
+    table = pa.table({"x": [1, 2]})
+    one, two = arrays.releasing_group(lambda a: a), arrays.releasing_group(lambda a, b: pa.concat_tables([a, b]))
+    assert one(table).num_rows == 2 and two(table, table).num_rows == 4 and len(done) == 2
+    assert [len(inspect.signature(f).parameters) for f in (one, two)] == [1, 2]
+
+    def fails(_):
+        raise ValueError("bad group")
+
+    with pytest.raises(ValueError, match="bad group"):
+        arrays.releasing_group(fails)(table)
+    assert len(done) == 3
+
+
+def test_loss_differences_release_each_group(spark, monkeypatch):
+    from millrace.llm import lm_score
+
+    wrapped = []
+    monkeypatch.setattr(lm_score, "releasing_group", lambda run: wrapped.append(run.__name__) or run, raising=False)
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b"), (3, None)], "doc_id long, text string")
+    lm_score.score_difference(docs, docs.where("doc_id = 1"))
+    assert sorted(wrapped) == ["add", "answer", "ask", "count", "score"]
