@@ -420,3 +420,38 @@ def test_loss_differences_release_each_group(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c"), (2, "a b"), (3, None)], "doc_id long, text string")
     lm_score.score_difference(docs, docs.where("doc_id = 1"))
     assert sorted(wrapped) == ["add", "answer", "ask", "count", "score"]
+
+
+def test_repeated_windows_take_little_memory_for_a_slice():
+    """A slice takes some 40 times its bytes, although all of its windows are repeated."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Frame:
+        def mapInArrow(self, send, schema):
+            self.send = send
+            return self
+
+        def groupBy(self, key):
+            return self
+
+        def applyInArrow(self, meet, schema):
+            return self
+
+    half = np.random.default_rng(3).integers(97, 123, suffix_dedup.SLICE // 2 - 8, dtype=np.uint8).tobytes().decode()
+    texts = pa.array([half, half[1:]])
+    parsed = suffix_dedup.Parsed(*suffix_dedup.byte_view(texts), 400)
+    marks = [[(parsed.phrase[parsed.text == k] - parsed.offsets[k]).astype(np.int32).tobytes()] for k in (0, 1)]
+    ids = pa.array([1, 2], pa.int64())
+    batch = pa.RecordBatch.from_arrays([texts, ids, ids, pa.array(marks, pa.list_(pa.binary()))], names=["_text", "h1", "h2", "marks"])
+    frame = Frame()
+    suffix_dedup.repeated_windows(frame, 400, 4)
+    tracemalloc.start()
+    try:
+        windows = sum(sum(np.frombuffer(x.as_py(), np.int32).sum() for x in out.column("count")) for out in frame.send(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert windows > 2.5 * len(half)  # both places, and one of them to be sent on
+    assert peak < 60 * suffix_dedup.SLICE
